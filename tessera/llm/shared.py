@@ -67,8 +67,8 @@ def held_out(id_col: Column, mod: int, held: int) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % F.lit(mod) == held, F.lit(False))
 
 
-def fit_logistic(x, y, l2: float = 1e-3, steps: int = 60):
-    """Weights (bias last) of an L2-penalised logistic regression by Newton's method, classes weighted alike."""
+def fit_logistic(x, y, l2: float = 1e-3, steps: int = 60, balanced: bool = True):
+    """Weights (bias last) of an L2-penalised logistic regression by Newton's method; balanced: classes weigh alike."""
     import numpy as np
 
     x = np.column_stack([np.asarray(x, float), np.ones(len(x))])
@@ -76,7 +76,7 @@ def fit_logistic(x, y, l2: float = 1e-3, steps: int = 60):
     w = np.zeros(x.shape[1])
     if not len(y) or y.min() == y.max():
         return w
-    weight = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
+    weight = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean())) if balanced else np.ones(len(y))
     pen = l2 * len(y) * np.eye(len(w))
     pen[-1, -1] = 1e-9 * len(y)
     for _ in range(steps):
