@@ -39,11 +39,11 @@ def discard(df: DataFrame) -> None:
 
 
 def train_rows(docs: DataFrame, labels: DataFrame, label_col: str, mod: int, held: int, holds: bool, bound: int) -> DataFrame:
-    """(label, text) of labelled rows that a model may learn from, about ``bound`` rows a class at most.
+    """(label, text) of labelled rows that a model may learn from, ``bound`` ids a class at most.
 
-    A row is open to learning if crc32(doc_id as text) mod ``mod`` equals ``held`` exactly when ``holds`` is False.
-    Rows are chosen by a hash of the text, so all copies of a text are in or out together; of equal texts in a class
-    one row stays. Labels other than 0 and 1, null texts and null ids are left out.
+    A row is open to learning if crc32(doc_id as text) mod ``mod`` equals ``held`` exactly when ``holds`` is True. Ids are
+    chosen by their hash, so the set of at most twice ``bound`` ids is small enough to broadcast, and texts are read in place,
+    not shuffled. Of equal texts in a class one row stays. Labels other than 0 and 1, null texts and null ids are left out.
     """
     rest = F.crc32(F.col("doc_id").cast("string")) % F.lit(mod)
     open_ids = (
@@ -53,12 +53,8 @@ def train_rows(docs: DataFrame, labels: DataFrame, label_col: str, mod: int, hel
         .groupBy("doc_id")
         .agg(F.max("label").alias("label"))
     )
-    n = {r["label"]: r["count"] for r in open_ids.groupBy("label").count().collect()}
-    rows = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(open_ids, "doc_id")
-    share = F.lit(0)
-    for k in (0, 1):
-        share = F.when(F.col("label") == k, F.lit(min(1_000_000, int(1_000_000 * bound / max(1, n.get(k, 0))) + 1))).otherwise(share)
-    rows = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share)
+    chosen = [open_ids.filter(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound) for k in (0, 1)]
+    rows = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(F.broadcast(chosen[0].union(chosen[1])), "doc_id")
     return rows.groupBy("label", F.xxhash64("text").alias("h")).agg(F.first("text").alias("text")).select("label", "text")
 
 
