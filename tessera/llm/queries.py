@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, pieces, quality, secrets, simhash, toxicity
+from . import decontaminate, pieces, quality, secrets, simhash, tokenstore, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenstore.digests(spark, tokenstore.write(_read(spark, sf_dir, "documents")))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_read(spark, sf_dir, "documents"))
 
@@ -41,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_quality": op3_quality,
     "op4_toxicity": op4_toxicity,
+    "op5_tokens": op5_tokens,
     "op7_secrets": op7_secrets,
     "op9_pieces": op9_pieces,
     "op10_decontamination": op10_decontamination,
