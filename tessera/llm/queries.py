@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, pieces, quality, secrets, simhash, tokenstore, toxicity
+from . import decontaminate, neighbours, pages, pieces, quality, secrets, simhash, tokenstore, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,10 +29,18 @@ def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenstore.digests(spark, tokenstore.write(_read(spark, sf_dir, "documents")))
 
 
+def op6_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(_read(spark, sf_dir, "pages"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_read(spark, sf_dir, "documents"))
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(_read(spark, sf_dir, "embeddings"))
+
+
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(_read(spark, sf_dir, "documents"))
 
@@ -46,7 +54,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op4_toxicity": op4_toxicity,
     "op5_tokens": op5_tokens,
+    "op6_pages": op6_pages,
     "op7_secrets": op7_secrets,
+    "op8_neighbours": op8_neighbours,
     "op9_pieces": op9_pieces,
     "op10_decontamination": op10_decontamination,
 }
