@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, neighbours, pages, pieces, quality, secrets, simhash, tokenstore, toxicity
+from . import decontaminate, licences, neighbours, pages, pieces, quality, secrets, simhash, tokenstore, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.find(_read(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -51,6 +55,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_licences": op2_licences,
     "op3_quality": op3_quality,
     "op4_toxicity": op4_toxicity,
     "op5_tokens": op5_tokens,
@@ -61,4 +66,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": op10_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_licences": licences.oracle_sql(),
+}
