@@ -4,8 +4,8 @@ Texts become lower-case word tokens. Fixed masks of six positions in a span of n
 benchmark and of the documents, blind to the positions between; equal hashes are a hit. Any 13 aligned tokens with two
 substitutions or fewer hold a hit (tests/llm checks every pattern). Around a hit the two texts are laid side by side, and the
 stretch that scores best (one for an equal token, minus four for another, so over 80 % are equal) is the overlap. It counts
-from ``least`` tokens on, or if it has over 80 % of a shorter benchmark item. Items shorter than a mask's span use the mask's
-positions that they have, and must match whole.
+from ``least`` tokens on, or if it has over 80 % of a shorter benchmark item. Items of 9 to 12 tokens use three masks of three
+positions, of which two substitutions leave one; shorter items use the masks' positions that they have, and must match whole.
 
 The benchmark is laid out in blocks of ``block_chars`` characters; each block's seeds, of bounded size, go to the executors, and
 documents pass by once a block. Only words of the block's own vocabulary can hit, so all others share one number.
@@ -26,7 +26,9 @@ from pyspark.sql import functions as F
 
 #: The masks, as the positions that count.
 MASKS = ((0, 3, 4, 6, 7, 8), (0, 1, 2, 3, 5, 8))
-SPAN = 9
+SPAN, SURE = 9, 13  # tokens of a mask's span, and tokens that hold a hit at two substitutions
+#: For items of SPAN to SURE - 1 tokens, thirds of the span, of which two substitutions leave one.
+THIRDS = ((0, 1, 2), (3, 4, 5), (6, 7, 8))
 WORD = re.compile(r"\w+")
 MIX = tuple(0x9E3779B97F4A7C15 * k | 1 for k in (3, 7, 19, 41, 83, 167, 331, 661, 1327))
 WRONG = 4  # an equal token scores 1, another costs this much
@@ -68,14 +70,14 @@ class Seeds:
             if t:
                 ids.append(i)
                 items.append(np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in t], np.int64))
-        masks = {m for m in MASKS} | {tuple(k for k in m if k < len(t)) for t in items if len(t) < SPAN for m in MASKS}
+        used = [MASKS if len(t) >= SURE else THIRDS if len(t) >= SPAN else tuple({tuple(k for k in m if k < len(t)) for m in MASKS}) for t in items]
+        masks = {m for own in used for m in own}
         tables = []
         for m in sorted(masks, key=lambda m: (-len(m), m)):
             hs, own, place = [], [], []
             for k, t in enumerate(items):
-                whole = m in MASKS and len(t) >= SPAN
-                if whole or len(t) < SPAN and m in [tuple(x for x in full if x < len(t)) for full in MASKS]:
-                    n = len(t) - SPAN + 1 if whole else 1
+                if m in used[k]:
+                    n = len(t) - SPAN + 1 if len(t) >= SURE else 1
                     hs.append(_hash(t, m, n))
                     own.append(np.full(n, k))
                     place.append(np.arange(n))
