@@ -24,12 +24,13 @@ from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-REMEMBERED = 400_000  # entries of each table
+REMEMBERED, PAIRS = 200_000, 500_000  # entries of each of two tables of text, and of the table of pairs
 NEVER = float("-inf")
 LONG = 64  # characters of a cut piece of text that is still remembered
 
@@ -50,14 +51,16 @@ class Vocabulary:
         self.unknown = sp.unk_id()
         self.raw = [bytes([int(p[3:5], 16)]) if sp.is_byte(i) else b"" if special[i] else p.replace(MARK, " ").encode() for i, p in enumerate(names)]
         self.longest = max(map(len, self.ids))
-        self.endings = {p[k:] for p in self.ids for k in range(len(p))}
         together = {(a, b) for p in self.ids for a, b in zip(p, p[1:])}
         assert not any(b == MARK and a != MARK for a, b in together), "a piece goes on past a space"
         alone = "\n" if not any("\n" in x for x in together) else ""
         self.cut = re.compile(f"{MARK}+[^{MARK}{alone}]*|[^{MARK}{alone}]+" + f"|{alone}" * bool(alone))
-        self.solid: dict[tuple[str, str], bool] = {}
+        self.solid: dict[int, bool] = {}
         self.known: dict[str, bytes] = {}
-        self.whole: dict[str, bool] = {}
+        self.older: dict[str, bytes] = {}
+        # by every ending of every piece: the id if it is a piece that merging makes of its characters, else -1
+        self.fits = dict.fromkeys((p[k:] for p in self.ids for k in range(len(p))), -1)
+        self.fits.update((p, i) for p, i in self.ids.items() if len(p) == 1 or self.merged(p) == [p])
 
     def merged(self, text: str) -> list[str]:
         """The pieces that merging leaves of a short text: the best-scored neighbours first, of equals the leftmost."""
@@ -74,23 +77,45 @@ class Vocabulary:
                 gain[i] = score(parts[i] + parts[i + 1], NEVER)
         return parts
 
-    def stable(self, left: str, right: str) -> bool:
-        """Whether merging leaves the two pieces as they are."""
-        key = (left, right)
-        out = self.solid.get(key)
-        if out is None:
-            out = self.merged(left + right) == [left, right]
-            if len(self.solid) >= REMEMBERED:
-                self.solid.clear()
-            self.solid[key] = out
+    def stable(self, left: str, right: str, key: int) -> bool:
+        """Whether merging leaves the two pieces as they are; key tells the pair."""
+        out = self.merged(left + right) == [left, right]
+        if len(self.solid) >= PAIRS:
+            self.solid.clear()
+        self.solid[key] = out
         return out
 
-    def reachable(self, piece: str) -> bool:
-        """Whether merging makes the piece of its characters."""
-        out = self.whole.get(piece)
-        if out is None:
-            out = self.whole[piece] = self.merged(piece) == [piece]
-        return out
+    def _step(self, text: str, end: int, last: list[int], names: list[int], before: str, first: int) -> None:
+        """Finds the last piece of the path that ends at ``end``: appends its length to last and its id to names.
+
+        before, first: the piece that stands before the text, and its id (-1 if it is in no vocabulary, -2 if there is none).
+        """
+        fits, solid = self.fits, self.solid
+        found = []
+        i = end - 1
+        while i >= 0:
+            f = fits.get(text[i:end])
+            if f is None:
+                break
+            if f >= 0:
+                found.append((i, f))
+            i -= 1
+        for i, f in reversed(found):
+            left = names[i] if i else first
+            if left == -2:
+                break
+            if left >= 0:
+                key = left << 20 | f
+                same = solid.get(key)
+                if same is None:
+                    same = self.stable(text[i - last[i] : i] if i else before, text[i:end], key)
+                if not same:
+                    continue
+            break  # nothing merges with a character outside the vocabulary
+        else:
+            i, f = end - 1, -1
+        last.append(end - i)
+        names.append(f)
 
     def spelled(self, piece: str) -> list[int]:
         i = self.ids.get(piece)
@@ -102,38 +127,28 @@ class Vocabulary:
 
     def search(self, chars: Iterable[str]) -> Iterator[int]:
         """Ids of a stream of characters, each as soon as all surviving paths agree on it."""
-        ids, endings, longest = self.ids, self.endings, self.longest
-        window = ""  # what is not yet committed, with one piece before it
-        last: list[int] = [0]  # by position in the window: the length of the last piece of the path that ends there
-        before = ""  # the piece that ends where the window begins
+        longest = self.longest
+        window, before, first = "", "", -2  # what is not yet committed, and the piece before it
+        last, names = [0], [-2]  # by position in the window: length and id of the last piece of the path that ends there
         for c in chars:
             window += c
             end = len(window)
-            size = 1
-            fits = []
-            for n in range(2, min(longest, end) + 1):
-                piece = window[end - n :]
-                if piece not in endings:
-                    break
-                if piece in ids:
-                    fits.append(n)
-            for n in reversed(fits):
-                piece = window[end - n :]
-                left = before if n == end else window[end - n - last[end - n] : end - n]
-                if self.reachable(piece) and (not left or self.stable(left, piece)):
-                    size = n
-                    break
-            last.append(size)
+            self._step(window, end, last, names, before, first)
             if end >= 2 * longest:
                 agreed = self._agreed(last, end)
                 if agreed:
-                    pieces = self._path(window, last, agreed)
-                    for p in pieces:
-                        yield from self.spelled(p)
-                    before = pieces[-1]
-                    window, last = window[agreed:], [0, *last[agreed + 1 :]]
-        for p in self._path(window, last, len(window)):
-            yield from self.spelled(p)
+                    yield from self._spelled(window, last, names, agreed)
+                    before, first = window[agreed - last[agreed] : agreed], names[agreed]
+                    window, last, names = window[agreed:], [0, *last[agreed + 1 :]], [-2, *names[agreed + 1 :]]
+        yield from self._spelled(window, last, names, len(window))
+
+    def whole(self, text: str) -> list[int]:
+        """The ids of a text too short for anything to be committed before its end."""
+        last, names = [0], [-2]
+        step = self._step
+        for end in range(1, len(text) + 1):
+            step(text, end, last, names, "", -2)
+        return self._spelled(text, last, names, len(text))
 
     def _agreed(self, last: list[int], end: int) -> int:
         """The furthest boundary that is on the paths back from every position on which a piece can still build."""
@@ -144,11 +159,12 @@ class Vocabulary:
             fronts.add(p - last[p] if p else 0)
         return fronts.pop()
 
-    @staticmethod
-    def _path(window: str, last: list[int], end: int) -> list[str]:
-        out = []
+    def _spelled(self, text: str, last: list[int], names: list[int], end: int) -> list[int]:
+        """The ids on the path back from ``end``, in the order of the text."""
+        out: list[int] = []
         while end > 0:
-            out.append(window[end - last[end] : end])
+            i = names[end]
+            out += [i] if i >= 0 else self.spelled(text[end - last[end] : end])[::-1]
             end -= last[end]
         return out[::-1]
 
@@ -159,13 +175,14 @@ class Vocabulary:
         known = self.known
         out = []
         for part in self.cut.findall(MARK + text.replace(" ", MARK)):
-            ids = known.get(part)
+            ids = known.get(part) or self.older.get(part)
             if ids is None:
-                ids = array("I", self.search(part)).tobytes()
-                if len(part) <= LONG:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[part] = ids
+                ids = array("I", self.whole(part) if len(part) < 2 * self.longest else self.search(part)).tobytes()
+            if part not in known and len(part) <= LONG:
+                if len(known) >= REMEMBERED:  # what is still used moves on into the new table
+                    self.older, self.known = known, {}
+                    known = self.known
+                known[part] = ids
             out.append(ids)
         return b"".join(out)
 
@@ -190,24 +207,28 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def _slices(batches: Iterable[pa.RecordBatch], n: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of a few rows, so that what a worker holds of their ids stays small."""
+    for b in batches:
+        for at in range(0, b.num_rows, n):
+            yield b.slice(at, n)
+
+
 def encode(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids array<int>, n_tokens, round_trip): round_trip tells whether decoding gives the text again."""
 
     def run(batches):
         v = vocabulary(model or default_model())
-        for b in batches:
-            ids, n, same = [], [], []
+        for b in _slices(batches):
+            packed, same = [], []
             for t in b.column(1):
                 t = t.as_py() or ""
-                x = array("I", v.packed(t))
-                ids.append(memoryview(x).cast("B").cast("i") if len(x) else [])
-                n.append(len(x))
-                same.append(v.decode(x) == t.replace(MARK, " "))
-            flat = pa.array([i for x in ids for i in x], pa.int32())
-            ends = [0]
-            for k in n:
-                ends.append(ends[-1] + k)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat), pa.array(n, pa.int64()), pa.array(same, pa.bool_())], ["doc_id", "ids", "n_tokens", "round_trip"])
+                packed.append(v.packed(t))
+                same.append(v.decode(array("I", packed[-1])) == t.replace(MARK, " "))
+            n = [len(x) // 4 for x in packed]
+            ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+            flat = pa.array(np.frombuffer(b"".join(packed), np.int32))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(ends), flat), pa.array(n, pa.int64()), pa.array(same, pa.bool_())], ["doc_id", "ids", "n_tokens", "round_trip"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, ids array<int>, n_tokens long, round_trip boolean")
 
@@ -217,7 +238,7 @@ def digest(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", te
 
     def run(batches):
         v = vocabulary(model or default_model())
-        for b in batches:
+        for b in _slices(batches):
             rows = []
             for t in b.column(1):
                 t = t.as_py() or ""
