@@ -172,19 +172,23 @@ class Vocabulary:
         """The ids of a whole text as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        known = self.known
-        out = []
-        for part in self.cut.findall(MARK + text.replace(" ", MARK)):
-            ids = known.get(part) or self.older.get(part)
-            if ids is None:
-                ids = array("I", self.whole(part) if len(part) < 2 * self.longest else self.search(part)).tobytes()
-            if part not in known and len(part) <= LONG:
-                if len(known) >= REMEMBERED:  # what is still used moves on into the new table
-                    self.older, self.known = known, {}
-                    known = self.known
-                known[part] = ids
-            out.append(ids)
-        return b"".join(out)
+        parts = self.cut.findall(MARK + text.replace(" ", MARK))
+        got = list(map(self.known.get, parts))
+        if None in got:
+            for i in [i for i, x in enumerate(got) if x is None]:
+                got[i] = self._remember(parts[i])
+        return b"".join(got)
+
+    def _remember(self, part: str) -> bytes:
+        """The packed ids of a cut piece of text that the newer table did not hold when its text was looked up."""
+        ids = self.known.get(part) or self.older.get(part)
+        if ids is None:
+            ids = array("I", self.whole(part) if len(part) < 2 * self.longest else self.search(part)).tobytes()
+        if len(part) <= LONG and part not in self.known:
+            if len(self.known) >= REMEMBERED:  # what is still used moves on into the new table
+                self.older, self.known = self.known, {}
+            self.known[part] = ids
+        return ids
 
     def encode(self, text: str | None) -> list[int]:
         return array("I", self.packed(text)).tolist()
