@@ -7,8 +7,8 @@ each retrieve templates: a window that holds 80 % of a template's shingles has a
 the template fills its class), and so shares a band with it with a probability over 0.99995. The exact share of the template's
 distinct shingles that the window holds then decides: CONTAINED or more is a match.
 
-Two prunings lose nothing: each template shingle has a word of ``anchors``, so a text without any of these words has no match;
-and a window without any template shingle has none. Templates are fixed and few; over ``BROADCAST`` of them are joined, not sent.
+Two prunings lose nothing: each template shingle has a word or phrase of ``anchors``, so a text without any of them has no match;
+and a window without any template shingle has none. The texts left are written to the shared folder once, for all classes. Templates are fixed and few; over ``BROADCAST`` of them are joined, not sent.
 
 Nulls: a null text counts as empty and has no match. Rows of one id, or without one, count together. Texts of under five words
 have no shingles. Empty tables give no rows. Further columns are ignored.
@@ -22,6 +22,8 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import materialise
+
 SHINGLE = 5
 BANDS = 48
 CONTAINED = 0.8
@@ -62,15 +64,16 @@ def size_class(n: int) -> int:
     return 1 << max(0, n - 1).bit_length()
 
 
-def anchors(templates: dict[str, str]) -> list[str]:
-    """Words, long ones first, of which every shingle of every template has one."""
+def anchors(templates: dict[str, str]) -> tuple[list[str], list[str]]:
+    """Words of six letters or more, and three-word phrases for the shingles that have no such word: each shingle has one of them."""
     left = {s for t in templates.values() for s in shingles(t)}
-    out = []
-    while left:
-        seen = Counter(w for s in left for w in set(s.split()))
-        best = max(seen, key=lambda w: (seen[w] * (len(w) >= 6), seen[w] * (len(w) >= 4), seen[w], w))
-        out.append(best)
-        left = {s for s in left if best not in s.split()}
+    out: tuple[list[str], list[str]] = ([], [])
+    cut = (lambda s: {w for w in s.split() if len(w) >= 6}, lambda s: {" ".join(s.split()[i : i + 3]) for i in range(3)})
+    for kept, parts in zip(out, cut, strict=True):
+        while seen := Counter(w for s in left for w in parts(s)):
+            best = max(seen, key=lambda w: (seen[w], w))
+            kept.append(best)
+            left = {s for s in left if best not in parts(s)}
     return out
 
 
@@ -106,12 +109,16 @@ def find(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str =
     bands = _banded(table, "h", "template", "class", "shingles")
 
     low = F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    has = F.lit(False)
-    for a in anchors(templates):
-        has = has | F.contains(low, F.lit(a))
-    text = docs.select(F.col(id_col).cast("long").alias("doc_id"), low.alias("low")).filter(has)
+    has, (long, phrases) = F.lit(False), anchors(templates)
+    for w in long:
+        has = has | F.contains(F.col("low"), F.lit(w))
+    for p in phrases:
+        has = has | F.contains(F.col("norm"), F.lit(p))
+    text = docs.select(F.col(id_col).cast("long").alias("doc_id"), _once(low).alias("low"))
+    text = text.select("doc_id", "low", _once(F.regexp_replace("low", "[^a-z0-9]+", " ") if phrases else F.lit("")).alias("norm")).filter(has)
     text = text.select("doc_id", _once(F.regexp_extract_all("low", F.lit("[a-z0-9]+"), F.lit(0))).alias("w"))
     text = text.select("doc_id", "w", _once(F.transform(_joined(F.col("w")), lambda s: F.xxhash64(s))).alias("h")).filter(F.size("h") > 0)
+    text = materialise(text, "licence-texts")  # each class reads these few, not the table
 
     out = None
     for c, own in sorted(marks.items()):
