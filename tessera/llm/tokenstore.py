@@ -1,7 +1,8 @@
 """Token ids in a content-addressed store.
 
 Encoding: whole texts by the ``tokenizers`` library, without special tokens, an end id after each document. A byte-level
-vocabulary never joins a letter and the space after it, so texts are cut there, and each distinct cut is encoded once a worker.
+vocabulary never joins a letter and the space after it, so texts are cut there; each distinct cut, and each distinct word in it,
+is encoded once a worker, while tables of bounded size hold them.
 
 Chunks: a rolling hash over the last WINDOW ids ends a chunk wherever its low bits are zero, between LEAST and MOST ids; equal
 passages thus cut alike, wherever they stand. A chunk's address is the BLAKE2b digest of its bytes; chunks of one address are
@@ -18,6 +19,7 @@ other in the order of their roots. Empty tables give empty files. Further column
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import uuid
 import zlib
@@ -25,22 +27,25 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import shared_dir
 
-WINDOW, LEAST, MOST, BITS = 16, 64, 2048, 8
-REMEMBERED = 600_000
+WINDOW, LEAST, MOST, BITS = 8, 128, 4096, 9
+REMEMBERED = 300_000  # cuts of text in each of two tables
 SPECIAL = "<|endoftext|>"
-_CUT = re.compile(r"(?<=\S)(?= )")
-_RUN = re.compile(r"\s ")
+#: Fixed value: the pattern by which byte-level tokenizers find words.
+_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+_ODD = re.compile(r"\s |(?<!\w)[.,]")  # white space before a space, or a comma or stop that is not after a letter or digit
 
 
 class Encoder:
     """Encodes whole texts with a byte-level tokenizer file; remembers what each cut of text encodes to."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a worker has one core
         from tokenizers import Tokenizer
 
         self.tool = Tokenizer.from_file(path)
@@ -48,49 +53,70 @@ class Encoder:
         self.width = 2 if size <= 1 << 16 else 4
         self.kind = np.dtype("<u2" if self.width == 2 else "<u4")
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.opens = np.zeros(size, bool)  # ids of tokens that begin with a space
         for token, i in self.tool.get_vocab().items():
             self.opens[i] = token.startswith("Ġ")
 
-    def _learn(self, cuts: list[str]) -> None:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        plain = [c for c in cuts if c[:1] == " " and c.count(" ") == 1 and not c[-1].isspace() and SPECIAL not in c]
-        if plain:  # one space a cut, at its front, so cuts can be told apart in the ids of all of them
-            ids = np.array(self.tool.encode("".join(plain), add_special_tokens=False).ids, self.kind)
+    def _spell(self, fresh: set[str]) -> dict[str, bytes]:
+        """The packed ids of words, as the tokenizer's own pattern finds them."""
+        words, width, kind = {}, self.width, self.kind
+        plain = [w for w in fresh if w[0] == " " and len(w) > 1 and not w[1].isspace()]
+        rest = list(fresh.difference(plain))
+        groups = [plain[i : i + 64] for i in range(0, len(plain), 64)]
+        for group, found in zip(groups, self.tool.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False), strict=True):
+            # one space a word, at its front, so words can be told apart in the ids of all of them
+            ids = np.array(found.ids, kind)
             at = np.flatnonzero(self.opens[ids])
-            if len(at) == len(plain):
-                raw, ends = ids.tobytes(), [*(at[1:] * self.width).tolist(), len(ids) * self.width]
-                a = 0
-                for c, b in zip(plain, ends, strict=True):
-                    self.known[c] = raw[a:b]
-                    a = b
-            else:
-                plain = []
-        for c in cuts if not plain else set(cuts).difference(plain):
-            self.known[c] = np.array(self.tool.encode(c, add_special_tokens=False).ids, self.kind).tobytes()
+            if len(at) != len(group):
+                rest += group
+                continue
+            raw, ends = ids.tobytes(), [*(at[1:] * width).tolist(), len(ids) * width]
+            a = 0
+            for w, b in zip(group, ends, strict=True):
+                words[w] = raw[a:b]
+                a = b
+        for w, found in zip(rest, self.tool.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            words[w] = np.array(found.ids, kind).tobytes()
+        return words
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """The packed ids of each text."""
-        parts = []
+        found: list[list[bytes | None]] = []
+        holes: list[tuple[list, list[str], list[int]]] = []  # what is found of a text, its parts, and where parts are not known
+        missing: set[str] = set()
         for t in texts:
             if not t:
-                parts.append([])
-            elif SPECIAL in t:
-                parts.append([t])
-            elif _RUN.search(t):
-                parts.append(_CUT.split(t))
+                found.append([])
+                continue
+            if SPECIAL in t:
+                found.append([np.array(self.tool.encode(t, add_special_tokens=False).ids, self.kind).tobytes()])
+                continue
+            if "_" in t or "\0" in t or _ODD.search(t):
+                parts = ["\0" + w for w in _WORDS.findall(t)]
             else:
-                first, *rest = t.split(" ")
-                parts.append([first, *[" " + x for x in rest]] if first else [" " + x for x in rest])
-        fresh = set().union(*parts).difference(self.known) if parts else set()
-        if fresh:
-            if len(self.known) + len(fresh) > REMEMBERED:
-                self.known.clear()
-                fresh = set().union(*parts)
-            self._learn(sorted(fresh))
-        known = self.known
-        return [b"".join([known[x] for x in p]) for p in parts]
+                # what begins with a comma or stop, and the text's first word, has no space before it
+                parts = t.replace(",", " ,").replace(".", " .").split(" ")
+                parts[0] = "\0" + parts[0]
+            got = list(map(self.known.get, parts))
+            found.append(got)
+            if None in got:
+                at = [i for i, x in enumerate(got) if x is None]
+                missing.update([parts[i] for i in at])
+                holes.append((got, parts, at))
+        fresh = {c: self.older[c] for c in missing if c in self.older}
+        apart = [(c, _WORDS.findall(c[1:] if c[:1] == "\0" else c if c[:1] in (",", ".") and c else " " + c)) for c in missing if c not in fresh]
+        words = self._spell({w for _, ws in apart for w in ws})
+        for c, ws in apart:
+            fresh[c] = words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws])
+        for got, parts, at in holes:
+            for i in at:
+                got[i] = fresh[parts[i]]
+        if len(self.known) + len(fresh) > REMEMBERED:  # what is still used moves on into the new table
+            self.older, self.known = self.known, fresh
+        else:
+            self.known.update(fresh)
+        return list(map(b"".join, found))
 
 
 @lru_cache(maxsize=2)
