@@ -80,17 +80,51 @@ def ratio(a: Column, b: Column) -> Column:
     return F.pandas_udf(run, "double")(a, b)
 
 
-def near_pairs(df: DataFrame, key_col: str, text_col: str, least: float = 0.95, block: int = 12) -> DataFrame:
-    """(key_a, key_b, ratio) of distinct texts whose ratio reaches ``least``, for texts that share a run of ``block`` characters
-    at a fixed relative place; lengths too far apart to reach the ratio are passed over before any text is compared."""
-    rows = df.groupBy(F.col(text_col).alias("t")).agg(F.min(key_col).alias("key")).filter(F.length("t") >= block)
-    at = F.sequence(F.lit(1), F.lit(20))
-    grams = rows.select("key", "t", F.length("t").alias("n"), F.explode(F.array_distinct(F.transform(at, lambda i: F.xxhash64(F.substring(F.col("t"), F.greatest(F.lit(1), (F.length("t") * i / 21).cast("int")), F.lit(block)))))).alias("g"))
-    full = grams.groupBy("g").count().filter("count between 2 and 200").select("g")
-    grams = grams.join(full, "g")
-    pairs = grams.alias("a").join(grams.alias("b"), "g").filter((F.col("a.key") < F.col("b.key")) & (2 * F.least("a.n", "b.n") >= least * (F.col("a.n") + F.col("b.n"))))
-    pairs = pairs.groupBy(F.col("a.key").alias("key_a"), F.col("b.key").alias("key_b")).agg(F.first("a.t").alias("ta"), F.first("b.t").alias("tb"))
-    return pairs.withColumn("ratio", ratio(F.col("ta"), F.col("tb"))).filter(F.col("ratio") >= least).select("key_a", "key_b", "ratio")
+def near_duplicates(df: DataFrame, key_col: str, text_col: str, sample: DataFrame, least: float = 0.95, block: int = 2000) -> DataFrame:
+    """(key_a, key_b, ratio): for each row of the sample (same columns), every other row whose text's ratio reaches ``least``.
+
+    The sample goes out in blocks of ``block`` rows; a row meets a block by two bounds that lose nothing (lengths, then counts of
+    characters, both at least the ratio), in one matrix operation, and only what they leave is compared.
+    """
+    from difflib import SequenceMatcher
+
+    import numpy as np
+
+    def counts(t: str) -> np.ndarray:
+        return np.bincount(np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) % 128, minlength=128)
+
+    spark = df.sparkSession
+    key_type = df.schema[key_col].dataType.simpleString()
+    rows = df.select(F.col(key_col).alias("key"), F.col(text_col).alias("t")).filter("t is not null and t <> ''")
+    picked = sample.select(F.col(key_col).alias("key"), F.col(text_col).alias("t")).filter("t is not null and t <> ''")
+    n_blocks = -(-picked.count() // block)
+    out = None
+    for k in range(n_blocks):
+        part = picked if n_blocks == 1 else picked.filter(F.pmod(F.xxhash64("key"), F.lit(n_blocks)) == k)
+        held = [tuple(r) for r in part.collect()]
+        if not held:
+            continue
+        sent = spark.sparkContext.broadcast(held)
+
+        def run(batches, sent=sent):
+            own = sent.value
+            table = np.array([counts(t) for _, t in own])
+            sizes = table.sum(1)
+            for b in batches:
+                found = []
+                for key, t in zip(b["key"], b["t"]):
+                    mine = counts(t)
+                    n = mine.sum()
+                    close = np.flatnonzero(2 * np.minimum(sizes, n) >= least * (sizes + n))
+                    close = close[2 * np.minimum(table[close], mine).sum(1) >= least * (sizes[close] + n)]
+                    for i in close:
+                        if own[i][0] != key and (r := SequenceMatcher(None, own[i][1], t).ratio()) >= least:
+                            found.append((own[i][0], key, r))
+                yield pd.DataFrame(found, columns=["key_a", "key_b", "ratio"])
+
+        found = rows.mapInPandas(run, f"key_a {key_type}, key_b {key_type}, ratio double")
+        out = found if out is None else out.union(found)
+    return out if out is not None else spark.createDataFrame([], f"key_a {key_type}, key_b {key_type}, ratio double")
 
 
 def role_statistics(turns: DataFrame, id_col: str, role_col: str = "role", text_col: str = "text") -> DataFrame:

@@ -1,4 +1,5 @@
 import json
+from difflib import SequenceMatcher
 
 from pyspark.sql import functions as F
 
@@ -93,7 +94,11 @@ def test_split_has_a_validation_row_and_keeps_keys_together(spark):
     assert all(r.n == 1 for r in out) and sum(r.s == "train" for r in out) == 18
     assert {r.split for r in Q.split(rows.filter("k < 2"), "k", 1.0).collect()} == {"train", "val"}
     assert Q.sample(rows, "v", 0.03, 50).count() == 50 and Q.sample(rows.limit(0), "v").count() == 0
-    assert Q.near_pairs(spark.createDataFrame([(1, "the quick brown fox jumps over"), (2, "the quick brown fox jumps over!"), (3, "else entirely, no relation here")], "k long, t string"), "k", "t").count() == 1
+    texts = ["the quick brown fox jumps over", "the quick brown fox jumps over!", "else entirely, no relation here", "rehtona text", "another text"] + ["x" * 40 + c for c in "abc"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k long, t string")
+    want = {(i, j) for i, a in enumerate(texts) for j, b in enumerate(texts) if i != j and SequenceMatcher(None, a, b).ratio() >= 0.95}
+    for block in (2000, 3):
+        assert {(r.key_a, r.key_b) for r in Q.near_duplicates(df, "k", "t", df, block=block).collect()} == want
 
 
 def test_topics(spark):

@@ -65,3 +65,13 @@ def test_capped_merge_stream(spark, tmp_path):
     q = W.capped_merge(stream, max_length=10).writeStream.format("memory").queryName("merged_out").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     assert q.awaitTermination(90)
     assert {(r["first"], r.n, r.text) for r in spark.table("merged_out").collect()} == {(0, 2, "aa bb"), (2, 1, "cc")}
+
+
+def test_prompts(spark):
+    from tessera.operators import prompts as R
+
+    row = spark.sql("select named_struct('name', 'f', 'returns', 'int', 'parameters', array(named_struct('name', 'a', 'type', 'str', 'required', true), named_struct('name', 'b', 'type', 'int', 'required', false))) as t, array('x', 'math') as path, array(named_struct('start', 61.0D, 'end', 62.0D, 'speaker', 'A', 'text', 'hi')) as s")
+    got = row.select(R.signature(F.col("t")).alias("sig"), R.topic_prompt(F.col("path"), 3, F.lit(""), R.bullets(F.col("path"))).alias("p"), R.window_prompt(F.col("s"), ["A"], 2).alias("w"), R.fit_prompt(F.lit("q"), F.lit(None), F.lit("s")).alias("f")).collect()[0]
+    assert got.sig == "f(a: str, b: int = None) -> int" and "Domain: educational" in got.p and "x -> math" in got.p and "- x\n- math" in got.p
+    assert "[01:01–01:02] A: hi" in got.w and "Answer: \n" in got.f
+    assert R.sample_prompts(row.select("path"), 1, "S").collect()[0].prompt.startswith("S\n")
