@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-REMEMBERED, PAIRS = 200_000, 500_000  # entries of each of two tables of text, and of the table of pairs
+REMEMBERED, PAIRS = 300_000, 500_000  # entries of each of two tables of text, and of the table of pairs
 NEVER = float("-inf")
 LONG = 64  # characters of a cut piece of text that is still remembered
 
@@ -143,12 +143,45 @@ class Vocabulary:
         yield from self._spelled(window, last, names, len(window))
 
     def whole(self, text: str) -> list[int]:
-        """The ids of a text too short for anything to be committed before its end."""
-        last, names = [0], [-2]
-        step = self._step
+        """The ids of a text too short for anything to be committed before its end: search() without the commits."""
+        fits, solid = self.fits.get, self.solid.get
+        starts, names = [0], [-2]  # by position: where the last piece begins, and its id
         for end in range(1, len(text) + 1):
-            step(text, end, last, names, "", -2)
-        return self._spelled(text, last, names, len(text))
+            found = []
+            i = end - 1
+            while i >= 0:
+                f = fits(text[i:end])
+                if f is None:
+                    break
+                if f >= 0:
+                    found.append((i, f))
+                i -= 1
+            start, name = end - 1, -1
+            while found:
+                i, f = found.pop()
+                left = names[i]
+                if left >= 0:
+                    key = left << 20 | f
+                    same = solid(key)
+                    if same is None:
+                        same = self.stable(text[starts[i] : i], text[i:end], key)
+                    if not same:
+                        continue
+                start, name = i, f
+                break
+            starts.append(start)
+            names.append(name)
+        out: list[int] = []
+        end = len(text)
+        while end > 0:
+            name, start = names[end], starts[end]
+            if name >= 0:
+                out.append(name)
+            else:
+                out += self.spelled(text[start:end])[::-1]
+            end = start
+        out.reverse()
+        return out
 
     def _agreed(self, last: list[int], end: int) -> int:
         """The furthest boundary that is on the paths back from every position on which a piece can still build."""
