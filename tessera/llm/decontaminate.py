@@ -136,7 +136,7 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_chars: int
         yield [tuple(r) for r in part.orderBy("i", "t").collect()]
 
 
-def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", least: int = 13, block_chars: int = 16_000_000) -> DataFrame:
+def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", least: int = 13, block_chars: int = 4_000_000) -> DataFrame:
     """(doc_id, item_id, doc_token, item_token, length, matches): each document's best overlap with each item it overlaps."""
     spark = docs.sparkSession
     schema = "doc_id long, item_id long, doc_token long, item_token long, length long, matches long"
@@ -157,7 +157,7 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     return out if out is not None else spark.createDataFrame([], schema)
 
 
-def remove(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_id", least: int = 13, block_chars: int = 16_000_000) -> DataFrame:
+def remove(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_id", least: int = 13, block_chars: int = 4_000_000) -> DataFrame:
     """The rows of docs, with their columns, that overlap no benchmark item."""
     for rows in _blocks(benchmark, item_col, "text", block_chars):
         sent = docs.sparkSession.sparkContext.broadcast(Seeds.of(rows))

@@ -7,7 +7,7 @@ its error is within ``bound`` standard deviations of a known size. A task first
 double precision; from then on a vector is reranked if its upper bound reaches the query's ``k``-th best exact score so far.
 
 The centre is the mean of at most ``SAMPLE`` vectors, chosen by the hash of their id. Every vector is indexed. Queries go out in
-groups of at most ``group`` (their size is thus bounded) and meet all index rows in blocks; each task keeps k a query.
+groups of about ``group`` (a million components in all, unless given) and meet all index rows in blocks; each task keeps k a query.
 
 Nulls: vectors that are null, zero, or hold null or non-finite components, rows with a null id, and vectors of another length
 than most take no part. Repeated ids are candidates of their own, but never their own neighbours. Ties go to the smaller id.
@@ -104,7 +104,7 @@ class _Best:
             self.floor[q] = score[order[-1]]
 
 
-def search(index: DataFrame, centre: np.ndarray, queries: DataFrame, k: int = 20, spread: int | None = None, bound: float = 3.0, group: int = 16_384) -> DataFrame:
+def search(index: DataFrame, centre: np.ndarray, queries: DataFrame, k: int = 20, spread: int | None = None, bound: float = 3.0, group: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score, reranked) of the k nearest of each query (columns vec_id, v), its own id apart.
 
     reranked: how many vectors the task that found the neighbour scored exactly for the query.
@@ -112,6 +112,7 @@ def search(index: DataFrame, centre: np.ndarray, queries: DataFrame, k: int = 20
     spark = index.sparkSession
     schema = "query_id long, vec_id long, score double, reranked long"
     spread = spread or _spread(len(centre))
+    group = group or max(256, 2**20 // max(1, len(centre)))
     n_groups = -(-queries.count() // group) if centre.size else 0
     out = None
     for g in range(n_groups):
