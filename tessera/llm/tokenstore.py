@@ -20,13 +20,13 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
 import uuid
 import zlib
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,11 +34,13 @@ from pyspark.sql import functions as F
 from .shared import shared_dir
 
 WINDOW, LEAST, MOST, BITS = 8, 128, 4096, 9
-REMEMBERED = 300_000  # cuts of text in each of two tables
+REMEMBERED = 450_000  # cuts of text in each of two tables
 SPECIAL = "<|endoftext|>"
 #: Fixed value: the pattern by which byte-level tokenizers find words.
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-_ODD = re.compile(r"\s |(?<!\w)[.,]")  # white space before a space, or a comma or stop that is not after a letter or digit
+#: White space before a space, or a comma or stop that is not after a letter or digit, and what is kept for own use.
+_SPACE = r"\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_ODD = rf"[{_SPACE}] |(?:^|[^\p{{L}}\p{{N}}])[.,]|\x00|<\|endoftext\|>"
 
 
 class Encoder:
@@ -58,65 +60,80 @@ class Encoder:
         for token, i in self.tool.get_vocab().items():
             self.opens[i] = token.startswith("Ġ")
 
-    def _spell(self, fresh: set[str]) -> dict[str, bytes]:
-        """The packed ids of words, as the tokenizer's own pattern finds them."""
-        words, width, kind = {}, self.width, self.kind
-        plain = [w for w in fresh if w[0] == " " and len(w) > 1 and not w[1].isspace()]
-        rest = list(fresh.difference(plain))
-        groups = [plain[i : i + 64] for i in range(0, len(plain), 64)]
-        for group, found in zip(groups, self.tool.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False), strict=True):
-            # one space a word, at its front, so words can be told apart in the ids of all of them
-            ids = np.array(found.ids, kind)
-            at = np.flatnonzero(self.opens[ids])
-            if len(at) != len(group):
-                rest += group
-                continue
-            raw, ends = ids.tobytes(), [*(at[1:] * width).tolist(), len(ids) * width]
-            a = 0
-            for w, b in zip(group, ends, strict=True):
-                words[w] = raw[a:b]
-                a = b
-        for w, found in zip(rest, self.tool.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            words[w] = np.array(found.ids, kind).tobytes()
-        return words
-
-    def encode_batch(self, texts: list[str | None]) -> list[bytes]:
-        """The packed ids of each text."""
-        found: list[list[bytes | None]] = []
-        holes: list[tuple[list, list[str], list[int]]] = []  # what is found of a text, its parts, and where parts are not known
-        missing: set[str] = set()
-        for t in texts:
-            if not t:
-                found.append([])
-                continue
-            if SPECIAL in t:
-                found.append([np.array(self.tool.encode(t, add_special_tokens=False).ids, self.kind).tobytes()])
-                continue
-            if "_" in t or "\0" in t or _ODD.search(t):
-                parts = ["\0" + w for w in _WORDS.findall(t)]
+    def _alike(self, words: list[str]) -> list[bytes]:
+        """The packed ids of words of which each begins with its only space, so that they can be told apart in one text's ids."""
+        out: list[bytes] = []
+        for at in range(0, len(words), 512):
+            group = words[at : at + 512]
+            ids = np.array(self.tool.encode_batch_fast(["".join(group)], add_special_tokens=False)[0].ids, self.kind)
+            starts = (np.flatnonzero(self.opens[ids]) * self.width).tolist()
+            if len(starts) == len(group):
+                raw = ids.tobytes()
+                out += [raw[a:b] for a, b in zip(starts, [*starts[1:], len(raw)])]
             else:
-                # what begins with a comma or stop, and the text's first word, has no space before it
-                parts = t.replace(",", " ,").replace(".", " .").split(" ")
-                parts[0] = "\0" + parts[0]
-            got = list(map(self.known.get, parts))
-            found.append(got)
-            if None in got:
-                at = [i for i, x in enumerate(got) if x is None]
-                missing.update([parts[i] for i in at])
-                holes.append((got, parts, at))
-        fresh = {c: self.older[c] for c in missing if c in self.older}
-        apart = [(c, _WORDS.findall(c[1:] if c[:1] == "\0" else c if c[:1] in (",", ".") and c else " " + c)) for c in missing if c not in fresh]
-        words = self._spell({w for _, ws in apart for w in ws})
-        for c, ws in apart:
-            fresh[c] = words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws])
-        for got, parts, at in holes:
-            for i in at:
-                got[i] = fresh[parts[i]]
+                out += self._each(group)
+        return out
+
+    def _each(self, words: list[str]) -> list[bytes]:
+        return [np.array(x.ids, self.kind).tobytes() for x in self.tool.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _spell(self, cuts: list[str]) -> list[bytes]:
+        """The packed ids of cuts that are more than one word of letters, by the words that the tokenizer's own pattern finds."""
+        apart = [_WORDS.findall(c[1:] if c[:1] == "\0" else c if c[:1] in (",", ".") and c else " " + c) for c in cuts]
+        words = {w for ws in apart for w in ws}
+        alike = [w for w in words if w[0] == " " and len(w) > 1 and not w[1].isspace()]
+        rest = list(words.difference(alike))
+        table = dict(zip(alike, self._alike(alike))) | dict(zip(rest, self._each(rest)))
+        return [b"".join([table[w] for w in ws]) for ws in apart]
+
+    def encode_batch(self, texts: list[str | None] | pa.Array) -> list[bytes]:
+        """The packed ids of each text.
+
+        Texts are cut, and distinct cuts told apart, in Arrow; each distinct cut of the batch is then looked up once, and what
+        the cuts encode to is laid out in the order of the texts, so that a text's ids are one stretch of the bytes.
+        """
+        array = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        odd = pc.match_substring_regex(array, _ODD)
+        plain = pc.replace_substring(pc.replace_substring(array.filter(pc.invert(odd)), ",", " ,"), ".", " .")
+        # what begins with a comma or stop, and what has a zero before it, has no space before it
+        cuts = [pc.split_pattern(pc.binary_join_element_wise("\0", plain, ""), " ")]
+        order = np.argsort(odd.to_numpy(zero_copy_only=False), kind="stable")
+        special: dict[int, bytes] = {}
+        loose = []
+        for i in order[len(plain) :].tolist():
+            t = array[i].as_py()
+            if SPECIAL in t:
+                special[i] = np.array(self.tool.encode(t, add_special_tokens=False).ids, self.kind).tobytes()
+            loose.append([] if i in special else ["\0" + w for w in _WORDS.findall(t)])
+        parts = pa.concat_arrays([*cuts, pa.array(loose, pa.list_(pa.string()))])
+        coded = parts.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        got = list(map(self.known.get, distinct))
+        missing = [i for i, x in enumerate(got) if x is None]
+        older = self.older.get
+        lost = [(i, older(distinct[i])) for i in missing]
+        fresh = {distinct[i]: raw for i, raw in lost if raw is not None}
+        for i, raw in lost:
+            got[i] = raw
+        unseen = [i for i, raw in lost if raw is None]
+        one = [i for i in unseen if distinct[i].isalpha()]
+        more = [i for i in unseen if not distinct[i].isalpha()]
+        for at, found in ((one, self._alike([" " + distinct[i] for i in one])), (more, self._spell([distinct[i] for i in more]))):
+            fresh.update(zip([distinct[i] for i in at], found))
+            for i, raw in zip(at, found):
+                got[i] = raw
         if len(self.known) + len(fresh) > REMEMBERED:  # what is still used moves on into the new table
             self.older, self.known = self.known, fresh
         else:
             self.known.update(fresh)
-        return list(map(b"".join, found))
+        laid = pa.array(got, pa.large_binary()).take(coded.indices)
+        ends = np.frombuffer(laid.buffers()[1], np.int64)[laid.offset : laid.offset + len(laid) + 1] if len(laid) else np.zeros(1, np.int64)
+        data = memoryview(laid.buffers()[2]) if len(laid) and laid.buffers()[2] is not None else b""
+        at = ends[np.asarray(parts.offsets) - parts.offsets[0].as_py()]
+        out = [b""] * len(array)
+        for k, i in enumerate(order.tolist()):
+            out[i] = special[i] if i in special else bytes(data[at[k] : at[k + 1]])
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -193,6 +210,18 @@ def crc_join(a: int, b: int, n: int) -> int:
     return b
 
 
+def _slices(b: pa.RecordBatch, rows: int = 2000, size: int = 1 << 23):
+    """A batch in slices of a few rows and about ``size`` bytes of text, a longer text alone."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < b.num_rows:
+        before = ends[at - 1] if at else 0
+        n = int(np.searchsorted(ends, before + size, "right")) - at
+        n = max(1, min(rows, n))
+        yield b.slice(at, n)
+        at += n
+
+
 def write(docs: DataFrame, path: str | None = None, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0) -> str:
     """Encodes the documents into a store in a folder that all executors share; returns its path."""
     spark = docs.sparkSession
@@ -204,10 +233,9 @@ def write(docs: DataFrame, path: str | None = None, tokenizer: str | None = None
         end = np.array([end_id], enc.kind).tobytes()
         seen: set[bytes] = set()
         for b in batches:
-            for at in range(0, b.num_rows, 500):
-                part = b.slice(at, 500)
+            for part in _slices(b):
                 rows = []
-                for raw in enc.encode_batch(part.column(1).to_pylist()):
+                for raw in enc.encode_batch(part.column(1)):
                     raw += end
                     ids = np.frombuffer(raw, enc.kind)
                     chunks, a = [], 0
