@@ -152,14 +152,14 @@ def cuts(ids: np.ndarray) -> list[int]:
     n = len(ids)
     if n <= LEAST:
         return [n] if n else []
-    gear = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    gear ^= gear >> np.uint64(31)
+    gear = ids.astype(np.uint32) * np.uint32(0x9E3779B1)
+    gear ^= gear >> np.uint32(15)
     h = gear.copy()
     power = 1
     for k in range(1, WINDOW):
-        power = power * 0xD6E8FEB86659FD93 % 2**64
-        h[k:] += gear[: n - k] * np.uint64(power)
-    marks = (np.flatnonzero(h >> np.uint64(64 - BITS) == 0) + 1).tolist()
+        power = power * 0x85EBCA6B % 2**32
+        h[k:] += gear[: n - k] * np.uint32(power)
+    marks = (np.flatnonzero(h >> np.uint32(32 - BITS) == 0) + 1).tolist()
     out, start = [], 0
     for m in marks:
         while m - start > MOST:
