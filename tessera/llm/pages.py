@@ -2,8 +2,8 @@
 
 Each page is parsed into elements with a tolerant reader. Elements whose tag, role, class or id marks menus, headers, footers,
 sidebars, notices, adverts, forms, comments and the like hold no content. A container's content is the length of its text outside
-such elements and outside links. From the body down, the page moves to a child container as long as one holds most of the content
-(articles and mains count for more); where it stops is the page's own container. Its path of tags and classes, digits and all that
+such elements and outside links. From the body down, the page moves to a child container as long as that one holds nearly all of the content (all of it,
+below the body) and nothing but containers holds any. It never moves on from an article or main. Where it stops is the page's own container. Its path of tags and classes, digits and all that
 varies left out, gets the page's vote for its host. In Spark the votes are summed by host, and the best path of each host wins.
 Every page is then extracted again, from the elements on its host's winning path, or from its own container if it has none.
 
@@ -30,6 +30,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style noscript template textarea title xmp iframe noframes".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 BARE = frozenset("nav footer aside form button select option input dialog menu head object svg canvas audio video map".split())
+WHOLE = frozenset("article main".split())  # never left for a part of them
+NEARLY = 0.98  # of the content of the body, for leaving it
 CONTAINERS = frozenset("article body center div main section table tbody td tr".split())
 P_ENDS = frozenset("address article aside blockquote center details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -137,16 +139,15 @@ def container(root: Element) -> Element:
     """The page's own container of its main text."""
     _measure(root)
     node = root
-    while True:
-        found = None
-        level = [k for k in node.kids if isinstance(k, Element) and not k.bare]
-        for k in level:
-            share = k.content * (3 if k.tag in ("article", "main") else 1)
-            if (k.tag in CONTAINERS or k.tag == "body") and k.content and share >= 0.7 * node.content and (found is None or share > found[0]):
-                found = (share, k)
-        if not found:
-            return node
-        node = found[1]
+    while node.tag not in WHOLE:
+        filled = [k for k in node.kids if isinstance(k, Element) and not k.bare and k.content]
+        if any(k.tag not in CONTAINERS and k.tag != "body" for k in filled) or any(isinstance(k, str) and any(map(str.isalnum, k)) for k in node.kids):
+            break
+        most = max(filled, key=lambda k: k.content, default=None)
+        if most is None or most.content < (NEARLY if node.tag in ("html", "body") else 1) * node.content:
+            break
+        node = most
+    return node
 
 
 def blocks(nodes: list[Element]) -> list[str]:

@@ -50,3 +50,16 @@ def test_whole_table_against_the_article_element(spark, sf):
     want = {r.page_id: "\n\n".join(slow(r.html)) for r in rows.collect()}
     got = {r.page_id: r for r in P.main_text(rows).collect()}
     assert {i: r.text for i, r in got.items()} == want and all(r.n_chars == len(r.text) for r in got.values())
+
+
+def test_nothing_of_the_article_is_left_outside():
+    long = "<p>" + "body text of the article " * 40 + "</p>"
+    for t, parts in (
+        (f"<body><article><h1>Title</h1><p>lead</p><div class=body>{long}</div></article></body>", ["Title", "lead"]),
+        (f"<body><div class=post><h1>Title</h1><p>lead</p><div class=body>{long}</div></div></body>", ["Title", "lead"]),
+        (f"<body><div class=post><section class=a>{long}</section><section class=b><p>second part</p></section></div></body>", ["second part"]),
+        (f"<body><div class=post><p>before</p><table><tr><td>{long}</table><p>after</p></div></body>", ["before", "after"]),
+        (f"<body><div class=text>{long * 3}</div><article class=card>{long.replace('body', 'card')}</article></body>", ["body text", "card text"]),
+    ):
+        got = P.extract(t, P.container(P.parse(t)).path)
+        assert all(x in got for x in [*parts, "text of the article"]), t
