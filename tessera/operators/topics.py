@@ -38,7 +38,10 @@ def add_edges(edges: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def root_paths(edges: DataFrame, roots: DataFrame, max_depth: int = 32) -> DataFrame:
-    """(path) from each root (id) to each leaf; a path stops before a node it already has. Each level is a written table."""
+    """(path) from each root (id) to each leaf; a path stops before a node it already has. Each level is a written table.
+
+    Raises if a path is still open after ``max_depth`` nodes, rather than leave it out.
+    """
     e = edges.select(F.col("parent_id").alias("at"), "child_id").distinct()
     front = materialise(roots.select(F.array("id").alias("path"), F.col("id").alias("at")), "paths")
     done = None
@@ -47,22 +50,27 @@ def root_paths(edges: DataFrame, roots: DataFrame, max_depth: int = 32) -> DataF
         done = ends if done is None else done.union(ends)
         front = materialise(front.join(e, "at").filter(~F.array_contains("path", F.col("child_id"))).select(F.array_append("path", F.col("child_id")).alias("path"), F.col("child_id").alias("at")), "paths")
         if front.isEmpty():
-            break
-    return done
+            return done
+    raise ValueError(f"paths of more than {max_depth} nodes")
+
 
+def cyclic_nodes(edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
+    """(id) of nodes on a cycle or between cycles: what stays when nodes without incoming or outgoing edges go, round by round.
 
-def cyclic_nodes(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """(id) of nodes on a cycle or between cycles: what stays when nodes without incoming or outgoing edges go, round by round."""
+    Ends when a round changes nothing; raises if that takes more than ``max_rounds``, where given.
+    """
     left = materialise(edges.select("parent_id", "child_id").distinct(), "edges")
     n = left.count()
-    for _ in range(max_rounds):
+    rounds, was = 0, None
+    while n != was:
+        if rounds == max_rounds:
+            raise ValueError(f"nodes still go after {max_rounds} rounds")
+        rounds += 1
         both = left.select(F.col("child_id").alias("id")).intersect(left.select("parent_id"))
         after = left.join(both.withColumnRenamed("id", "parent_id"), "parent_id", "left_semi").join(both.withColumnRenamed("id", "child_id"), "child_id", "left_semi")
         before, left = left, materialise(after.select("parent_id", "child_id"), "edges")
         discard(before)
         was, n = n, left.count()
-        if n == was:
-            break
     return left.select(F.col("parent_id").alias("id")).union(left.select("child_id")).distinct()
 
 

@@ -1,6 +1,7 @@
 import json
 from difflib import SequenceMatcher
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
@@ -132,3 +133,14 @@ def test_files(spark, tmp_path):
     m = D.manifest(spark, [str(p)])
     assert m.collect()[0].records == 2 and D.same_manifest(m, m).count() == 0
     assert [r.value for r in D.audit_table(spark.createDataFrame([("a", None)], "p string, q string")).orderBy("k").collect()] == ["| p | q |", "| --- | --- |", "| a | - |"]
+
+
+def test_graph_bounds_are_not_passed_over_in_silence(spark):
+    chain = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(8)], "parent_id string, child_id string")
+    root = spark.createDataFrame([("n0",)], "id string")
+    with pytest.raises(ValueError):
+        P.cyclic_nodes(chain, 2)
+    assert P.cyclic_nodes(chain).count() == 0
+    with pytest.raises(ValueError):
+        P.root_paths(chain, root, 8)
+    assert [len(r.path) for r in P.root_paths(chain, root, 9).collect()] == [9]
