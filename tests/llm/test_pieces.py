@@ -54,6 +54,39 @@ def test_stream_equals_the_whole_and_commits_early(spark, sf, library, v):
     assert taken < 10_500
 
 
+def test_window_stays_bounded(library, v):
+    v.widest = 0
+    text = "abcdefgh" * 25_000  # one stream without a boundary between its pieces known beforehand
+    assert v.encode(text) == library.encode(text)
+    assert 0 < v.widest <= 4 * v.longest
+
+
+def test_ten_million_characters(library, v, monkeypatch):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzé") for _ in range(rng.randrange(1, 14))) for _ in range(100_000)]
+    text = " ".join(rng.choice(words) for _ in range(1_250_000)) + "  \n end"
+    held = []
+    plain = v.searched
+    monkeypatch.setattr(v, "searched", lambda streams: held.append(max(map(len, streams), default=0)) or plain(streams))
+    ids, n = v.encode_batch([text, None, "short"])
+    want = library.encode(text)
+    assert len(text) > 9_000_000 and n.tolist() == [len(want), 0, len(library.encode("short"))] and ids[: len(want)].tolist() == want
+    assert max(held) <= 2 * v.longest  # all goes through the search, in streams of bounded length
+
+
+def test_blocks_of_a_long_text_join(library, v, monkeypatch):
+    monkeypatch.setattr(P, "BLOCK", 50)
+    for t in ("one two  three   four " * 30, " " * 300 + "x", "\u2581 a" * 60, "y" * 400, "日本 " * 50):
+        assert v.encode(t) == library.encode(t) and "".join(v._blocks(t)) == t
+
+
+def test_distinct_words_and_a_full_table_of_pairs(library, monkeypatch):
+    monkeypatch.setattr(P, "PAIRS", 500)
+    own, rng = P.Vocabulary(P.default_model()), random.Random(5)
+    for t in (" ".join("".join(rng.choice("abcdeéxyz日0\n") for _ in range(rng.randrange(1, 12))) for _ in range(3000)) for _ in range(3)):
+        assert own.encode(t) == library.encode(t)
+
+
 def test_tables(spark, sf, library):
     rows = [(i, t, "a", "b", None) for i, t in enumerate(ODD)] + [(None, "x", None, None, None), (3, ODD[3], None, None, None)]
     docs = spark.createDataFrame(rows, SCHEMA)
