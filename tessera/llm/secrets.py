@@ -2,16 +2,20 @@
 
 Three base patterns report by form alone: assignments to a secret's name, access key ids, long hexadecimal runs. The other kinds
 are reported only if their content decodes and parses: signed tokens (a JSON header that names its algorithm and a JSON
-payload), PEM blocks, and bare base64 or hex runs whose bytes are a DER key (every nested length must fit) or an SSH key.
+payload), PEM blocks, and bare base64 or hex runs whose bytes are a private key: DER of which every nested length fits, down to
+the key inside its wrapper, or an SSH key. Public keys are no secrets. Base64 may be of either alphabet and run over several
+lines, with real or written line ends; an encrypted PEM block is confirmed by its headers and the length of its blocks.
 
 Nulls: a null text counts as empty and has no spans. Offsets are code points of the whole text, the end exclusive. Repeated rows
-each keep a row. Further columns are ignored by scan() and kept by redact().
+each keep a row. Further columns are ignored by scan() and kept by redact(). What doesn't parse, however deep or long, is passed
+over.
 """
 
 from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import hashlib
 import json
 import re
@@ -29,9 +33,17 @@ NAMES = ("passw", "secret", "token", "api")  # a text without any of them, in lo
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")  # maximal runs, so the same as [0-9a-f]+ of 32 or more
 TOKEN = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{4,}\.[A-Za-z0-9_-]*")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s:,-]*?)-----END \1-----")
-RUN64 = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{48,}={0,2}")
-RUN16 = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{96,}(?![0-9A-Fa-f])")
+PEM_LINE = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{0,40}PRIVATE KEY)-----")
+PEM_BODY = re.compile(r"[A-Za-z0-9+/=\s:,-]*")
+#: A run of either base64 alphabet; written line ends before it are not part of it.
+RUN64 = re.compile(r"(?:(?<=\\n)|(?<=\\r)|(?<![A-Za-z0-9+/_\\-]))[A-Za-z0-9+/_-]{48,}={0,2}")
+MORE64 = re.compile(r"(?:\r?\n|\\r\\n|\\n)[ \t]*([A-Za-z0-9+/_-]+)={0,2}")
+RUN16 = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{72,}(?![0-9A-Fa-f])")
+SSH = b"openssh-key-v1\0"
+SSH64 = "b3BlbnNzaC1rZXktdjE"  # how its base64 begins
+#: Object ids (DER) of key types and what their wrapped key is.
+RSA, EC, DSA = bytes.fromhex("2a864886f70d010101"), bytes.fromhex("2a8648ce3d0201"), bytes.fromhex("2a8648ce380401")
+CURVES = {bytes.fromhex("2b6570"): 32, bytes.fromhex("2b6571"): 57, bytes.fromhex("2b656e"): 32, bytes.fromhex("2b656f"): 56}
 
 
 def _unpadded(s: str) -> bytes | None:
@@ -46,7 +58,7 @@ def is_signed_token(s: str) -> bool:
     head, body, mark = s.split(".", 2)
     try:
         h, b = (json.loads(_unpadded(x) or b"") for x in (head, body))
-    except (ValueError, UnicodeDecodeError):
+    except (ValueError, RecursionError):  # no JSON, or nested too deep to be a token
         return False
     if not isinstance(h, dict) or not isinstance(b, dict) or not isinstance(h.get("alg"), str):
         return False
@@ -79,45 +91,60 @@ def _nested(raw: bytes, depth: int = 0) -> bool:
     return items is not None and depth < 12 and all(_nested(c, depth + 1) for t, c in items if t & 0x20)
 
 
+def _is_rsa(items: list[tuple[int, bytes]]) -> bool:
+    return len(items) >= 9 and all(t == 0x02 for t, _ in items[:9])
+
+
+def _is_curve(items: list[tuple[int, bytes]]) -> bool:
+    """An elliptic key: version 1, the secret number, then its curve or public point."""
+    return len(items) >= 2 and items[0] == (0x02, b"\1") and items[1][0] == 0x04 and 16 <= len(items[1][1]) <= 72 and all(t in (0xA0, 0xA1) for t, _ in items[2:])
+
+
+def _wrapped(kind: bytes, raw: bytes) -> bool:
+    """Whether a wrapper's octets hold the key that its object id tells of."""
+    items = der_items(raw)
+    if not items or len(items) != 1:
+        return False
+    tag, body = items[0]
+    if kind in CURVES:
+        return tag == 0x04 and len(body) == CURVES[kind]
+    if kind == DSA:
+        return tag == 0x02
+    inner = der_items(body) if tag == 0x30 else None
+    if inner is None or not _nested(raw):
+        return False
+    return _is_rsa(inner) if kind == RSA else _is_curve(inner) if kind == EC else bool(inner)
+
+
 def is_der_key(raw: bytes) -> bool:
-    """One SEQUENCE that fills raw, all nested lengths fit, and it begins as a private or public key does."""
+    """One SEQUENCE that fills raw, all nested lengths fit, and it holds a private key, bare, wrapped or encrypted."""
     items = der_items(raw)
     if not items or len(items) != 1 or items[0][0] != 0x30 or not _nested(raw):
         return False
     inner = der_items(items[0][1]) or []
     tags = [t for t, _ in inner]
-    if len(inner) >= 9 and all(t == 0x02 for t in tags[:9]):
-        return True  # an RSA key with its primes
-    if len(inner) >= 3 and tags[0] == 0x02 and len(inner[0][1]) == 1:
-        if tags[1] == 0x30 and tags[2] == 0x04 or tags[1] == 0x04 and tags[2] in (0xA0, 0xA1):
-            return True  # a wrapped key, or an elliptic one
-    if len(inner) == 2 and tags == [0x30, 0x03]:
-        first = der_items(inner[0][1]) or []
-        return bool(first) and first[0][0] == 0x06
-    if len(inner) == 2 and tags == [0x30, 0x04]:  # an encrypted key
-        first = der_items(inner[0][1]) or []
-        return bool(first) and first[0][0] == 0x06
+    if _is_rsa(inner) or len(inner) >= 3 and _is_curve(inner):
+        return True
+    if len(inner) >= 3 and tags[:3] == [0x02, 0x30, 0x04] and len(inner[0][1]) == 1:
+        kind = der_items(inner[1][1]) or []
+        return bool(kind) and kind[0][0] == 0x06 and _wrapped(kind[0][1], inner[2][1])
+    if tags == [0x30, 0x04]:  # an encrypted key: the scheme's object id, and whole blocks
+        kind = der_items(inner[0][1]) or []
+        return bool(kind) and kind[0][0] == 0x06 and len(inner[1][1]) >= 32 and len(inner[1][1]) % 8 == 0
     return False
 
 
 def is_ssh_key(raw: bytes) -> bool:
-    """A private key's magic, or the length-prefixed fields of a public key that fill raw."""
-    if raw.startswith(b"openssh-key-v1\0"):
-        raw, fields = raw[15:], 0
-        while len(raw) >= 4 and fields < 3:
-            n = int.from_bytes(raw[:4], "big")
-            if 4 + n > len(raw):
-                return False
-            raw, fields = raw[4 + n :], fields + 1
-        return fields == 3
-    at, names = 0, []
-    while at < len(raw):
+    """A private SSH key: its magic, and the length-prefixed cipher, derivation and options after it."""
+    if not raw.startswith(SSH):
+        return False
+    at = len(SSH)
+    for _ in range(3):
         n = int.from_bytes(raw[at : at + 4], "big")
         if at + 4 + n > len(raw):
             return False
-        names.append(raw[at + 4 : at + 4 + n])
         at += 4 + n
-    return len(names) >= 2 and names[0].startswith((b"ssh-", b"ecdsa-"))
+    return len(raw) >= at + 8 and int.from_bytes(raw[at : at + 4], "big") >= 1
 
 
 def _is_key(raw: bytes | None) -> bool:
@@ -125,12 +152,68 @@ def _is_key(raw: bytes | None) -> bool:
 
 
 def _decode64(s: str) -> bytes | None:
+    if ("-" in s or "_" in s) and not ("+" in s or "/" in s):
+        s = s.translate({45: 43, 95: 47})
     try:
         return base64.b64decode(s + "=" * (-len(s) % 4), validate=True)
     except (binascii.Error, ValueError):
         return None
 
 
+def _is_pem(label: str, body: str) -> bool:
+    """Whether what stands between a block's marks is a key, or says how it is encrypted and has whole blocks."""
+    body = body.replace("\\r", "").replace("\\n", "\n")
+    if not PEM_BODY.fullmatch(body):
+        return False
+    heads = dict(x.split(":", 1) for x in body.splitlines() if ":" in x)
+    raw = _decode64(re.sub(r"[^A-Za-z0-9+/]", "", "".join(x for x in body.splitlines() if ":" not in x)))
+    if not raw:
+        return False
+    how = heads.get("DEK-Info", "").strip().split(",")
+    if heads.get("Proc-Type", "").replace(" ", "") == "4,ENCRYPTED" and len(how) == 2 and label != "PRIVATE KEY":
+        size = 16 if how[0].startswith("AES") else 8
+        return bool(re.fullmatch(r"[0-9A-Fa-f]+", how[1].strip())) and len(how[1].strip()) == 2 * size and len(raw) % size == 0 and len(raw) >= 32
+    return _is_key(raw)
+
+
+def pem_blocks(t: str) -> list[tuple[int, int]]:
+    """Spans of the confirmed PEM blocks: a begin mark, the end mark of the same label next."""
+    marks = list(PEM_LINE.finditer(t))
+    return [(a.start(), b.end()) for a, b in zip(marks, marks[1:]) if a[1] == "BEGIN" and b[1] == "END" and a[2] == b[2] and _is_pem(a[2], t[a.end() : b.start()])]
+
+
+def _claimed(run: str) -> int:
+    """The characters of base64 that the outer length of a DER key calls for; 0 if the run begins with no such key."""
+    raw = _decode64(run[:12]) or b""
+    if len(raw) < 6 or raw[0] != 0x30:
+        return 0
+    k = raw[1] & 0x7F if raw[1] & 0x80 else 0
+    n = 2 + k + (int.from_bytes(raw[2 : 2 + k], "big") if k else raw[1])
+    return 0 if k > 4 else -(-4 * n // 3)
+
+
+def base64_key(t: str, m: re.Match) -> int:
+    """Where the key ends that begins with a run, which may go on over lines of its width; -1 if there is none."""
+    run = m[0].rstrip("=")
+    ssh = run.startswith(SSH64)
+    claimed = _claimed(run)
+    if not ssh and not claimed:
+        return -1
+    if ssh or claimed <= len(run):
+        if _is_key(_decode64(run)) and not ssh:
+            return m.end()
+    parts, have, end = [run], len(run), m.end()
+    while ssh or have < claimed:
+        more = MORE64.match(t, end)
+        if not more or len(more[1]) > len(run):
+            break
+        parts.append(more[1])
+        have, end = have + len(more[1]), more.end()
+        if len(more[1]) < len(run):
+            break
+    return end if _is_key(_decode64("".join(parts))) else -1
+
+
 def spans(text: str | None) -> list[tuple[int, str, int]]:
     """(start, kind, end) of all secrets of the whole text, by start, then by the order of KINDS."""
     t = text or ""
@@ -143,15 +226,18 @@ def spans(text: str | None) -> list[tuple[int, str, int]]:
     out += [(m.start(), "hex", m.end()) for m in HEX.finditer(t)]
     if "eyJ" in t:
         out += [(m.start(), "jwt", m.end()) for m in TOKEN.finditer(t) if is_signed_token(m[0])]
-    pems = []
-    if "-----BEGIN " in t:
-        pems = [m for m in PEM.finditer(t) if _is_key(_decode64(re.sub(r"[^A-Za-z0-9+/]", "", "".join(x for x in m[2].splitlines() if ":" not in x))))]
-        out += [(m.start(), "pem", m.end()) for m in pems]
+    pems = pem_blocks(t) if "-----BEGIN " in t else []
+    out += [(a, "pem", b) for a, b in pems]
+    begins = [a for a, _ in pems]
+    last = 0
     for m in RUN64.finditer(t):
-        if any(p.start() <= m.start() < p.end() for p in pems):
+        k = bisect.bisect_right(begins, m.start()) - 1
+        if m.start() < last or k >= 0 and m.start() < pems[k][1]:
             continue
-        if _is_key(_decode64(m[0].rstrip("="))):
-            out.append((m.start(), "base64_key", m.end()))
+        end = base64_key(t, m)
+        if end >= 0:
+            out.append((m.start(), "base64_key", end))
+            last = end
     for m in RUN16.finditer(t):
         if len(m[0]) % 2 == 0 and _is_key(bytes.fromhex(m[0])):
             out.append((m.start(), "hex_key", m.end()))
