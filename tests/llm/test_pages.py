@@ -29,7 +29,7 @@ def test_odd_html():
 
 
 def test_consensus_path_rules_a_page_whose_own_best_is_elsewhere(spark):
-    good = "<body><div class='main-{n}'><p>" + "long article text " * 20 + "</p></div><div class='extra'><p>short</p></div></body>"
+    good = "<body><div class='main-{n}'><p>" + "long article text " * 20 + "</p></div><div class='extra'></div></body>"
     odd = "<body><div class='main-9'><p>brief</p></div><div class='extra'><p>" + "a long reader poll " * 30 + "</p></div></body>"
     rows = [(i, "http://Host.example/a", good.replace("{n}", str(i)), None, "x") for i in range(5)] + [(9, "https://host.example:80/b?c", odd, None, None), (10, None, None, None, None), (10, "", "<p>x", None, None)]
     for most in (100, 0):
@@ -63,3 +63,61 @@ def test_nothing_of_the_article_is_left_outside():
     ):
         got = P.extract(t, P.container(P.parse(t)).path)
         assert all(x in got for x in [*parts, "text of the article"]), t
+
+
+def test_headings_and_sections_beside_the_largest_part_are_kept():
+    body = "<p>" + "much more of the text. " * 300 + "</p>"
+    for t in (f"<body><div class=top><h1>Title</h1></div><div class=content>{body}</div></body>", f"<body><main><h1>Title</h1><div>{body}</div></main></body>", f"<body><div><div class=a>Title</div><div class=b>{body}</div></div></body>"):
+        assert P.extract(t).startswith("Title\n\nmuch more")
+
+
+def test_headers_outside_article_and_main_are_left_out():
+    page = '<body><div class="main-wrap"><header><h1>Site name</h1></header><div class="main-text"><p>the text</p></div></div></body>'
+    assert P.extract(page) == "the text"
+    assert P.extract("<body><article><header><h1>Head</h1></header><p>x</p></article></body>") == "Head\n\nx"
+    assert P.extract("<body><main><header>Head</header><p>x</p></main></body>") == "Head\n\nx"
+
+
+def test_votes_weigh_by_content(spark):
+    row = lambda i, c, n: (i, "http://h.example/", f"<body><div class={c}><p>{'text ' * n}</p></div></body>", None, None)
+    rows = [row(0, "long", 4000), row(1, "stub", 1), row(2, "stub", 1)]
+    got = P.main_text(spark.createDataFrame([*rows, (3, "http://h.example/", f"<body><div class=stub>a</div>{rows[0][2]}", None, None)], SCHEMA))
+    assert {r.host_path for r in got.collect()} == {"html/body/div.long"}
+
+
+def test_very_long_and_deep_pages_take_time_and_memory_in_proportion():
+    import time
+    import tracemalloc
+
+    def cost(t):
+        tracemalloc.start()
+        began = time.time()
+        text = P.extract(t, P.container(P.parse(t)).path)
+        out = time.time() - began, tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return text, *out
+
+    n = 8_000
+    for t in ("<div>" * n + "deep" + "</div>" * n, "<div>" * n + "deep", "<b>" * n + "<hr>" * n + "deep", "<div>" * n + "</span>" * n + "deep", "<p><b>" * n + "deep", "<ul><li>" * n + "deep"):
+        text, seconds, peak = cost(t)
+        assert text == "deep" and seconds < 20 and peak < 30_000_000, t[:20]
+    for t in ("<a href='" * n, '<a href="' * n + "x", "<a " * n, "<a b='\">" * n, "<!--" * n):
+        assert cost(t)[1] < 10
+    assert P.extract('<p title="a > b">one</p><p title=it\'s>two</p>') == "one\n\ntwo"
+    assert P.extract("<article>" + "<p>word</p>" * 50_000 + "</article>") == "\n\n".join(["word"] * 50_000)
+
+
+def test_pages_without_article_by_brute_force(spark):
+    """Bodies of marked and unmarked parts in any order: what is not marked is the text, in page order."""
+    import itertools
+    import random
+
+    rng = random.Random(11)
+    marked = ['<div class="sidebar-left"><p>no %d</p></div>', '<nav><a href=x>no %d</a></nav>', "<footer>no %d</footer>", '<div id="comments"><p>no %d</p></div>', '<div class="ad"><p>no %d</p></div>', "<form><label>no %d</label></form>", '<section role="search">no %d</section>']
+    plain = ["<h1>yes %d</h1>", "<p>yes %d</p>", "<div class=body><p>yes %d</p></div>", "<section><h2>yes %d</h2></section>", "<ul><li>yes %d</li></ul>", "<table><tr><td>yes %d</td></tr></table>"]
+    count = itertools.count()
+    for _ in range(200):
+        parts = [rng.choice(marked if rng.random() < 0.4 else plain) % next(count) for _ in range(rng.randrange(1, 9))]
+        shell = rng.choice(["<body>%s</body>", '<body><div id=wrap class="main-wrap">%s</div></body>', "<div><div class=x1>%s</div></div>"])
+        want = [re.sub(r"<[^>]+>", "", p) for p in parts if "yes" in p]
+        assert P.extract(shell % "".join(parts)) == "\n\n".join(want)
