@@ -1,11 +1,13 @@
 """Quality by compression: zstandard dictionaries of good and of bad labelled text.
 
-A text is cut into blocks of ``BLOCK`` bytes; each is compressed with either dictionary. The difference of the summed sizes over
-their sum says which dictionary knows the text better; a logistic regression on it, with the text's plain compression ratio
-beside it, gives the calibrated score. Blocks keep a dictionary's effect alike in short and long texts.
-
-Nulls: a null text counts as empty; an empty text has the features zero and the score that goes with them. Repeated rows each
-keep a row. Without labelled rows of both classes every score is 0.5. Further columns are ignored.
+A text is cut into blocks of ``BLOCK`` bytes; each is compressed with either dictionary. The difference of the summed sizes says
+which dictionary knows the text better; it is normalised by the sum of the sizes, by the text's bytes, and in the block where the
+bad dictionary does best. A logistic regression on these three differences, and on nothing else, gives the calibrated score.
+Blocks keep a dictionary's effect alike in short and long texts.
+
+Nulls: a null text counts as empty; an empty text has the features zero and the score that goes with them. Equal texts score
+alike. Repeated rows each keep a row. Without labelled rows of both classes every score is 0.5. Further columns are ignored.
+Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -32,36 +34,34 @@ class Model:
     weights: list[float]
 
     def compressors(self):
-        """The compressors with the good and the bad dictionary and the plain one."""
+        """The compressors with the good and the bad dictionary."""
         out = []
         for raw in (self.good, self.bad):
             d = zstandard.ZstdCompressionDict(raw)
             d.precompute_compress(level=LEVEL)
             out.append(zstandard.ZstdCompressor(dict_data=d, write_content_size=False, write_dict_id=False))
-        return (*out, zstandard.ZstdCompressor(level=LEVEL, write_content_size=False))
+        return tuple(out)
 
     def score(self, x) -> float:
         z = float(np.dot(self.weights[:-1], x)) + self.weights[-1]
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def features(text: str | None, tools) -> tuple[float, float, float, float]:
-    """Normalised size difference (bad less good) with that of the worst and best block, and the plain ratio."""
+def features(text: str | None, tools) -> tuple[float, float, float]:
+    """Size differences (bad less good) over the sum of the sizes, of the block where it is least, and over the text's bytes."""
     raw = (text or "").encode("utf-8", "surrogatepass")
     if not raw:
-        return 0.0, 0.0, 0.0, 0.0
-    good, bad, plain = tools
-    g = b = p = 0
+        return 0.0, 0.0, 0.0
+    good, bad = tools
+    g = b = 0
     low = 1.0
     for at in range(0, len(raw), BLOCK):
         part = raw[at : at + BLOCK]
         x, y = len(good.compress(part)), len(bad.compress(part))
-        p += len(plain.compress(part))
         g, b = g + x, b + y
         if len(part) >= 128 or at == 0:
             low = min(low, (y - x) / (x + y))
-    d = (b - g) / (b + g)
-    return 10 * d, 10 * low, math.log(len(raw) / (p + 1.0)), math.log(len(raw) / (min(g, b) + 1.0))
+    return 10 * (b - g) / (b + g), 10 * low, 10 * (b - g) / len(raw)
 
 
 def _blocks(rows: DataFrame, per_class: int) -> dict[int, list[bytes]]:
@@ -97,8 +97,8 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = 4000, blocks: int = 3
     rows = materialise(train_rows(docs, labels, "quality", mod, held, False, bound).withColumn("half", F.pmod(F.xxhash64("text", F.lit(7)), F.lit(2))), "quality-rows")
     parts = _blocks(rows.filter("half = 0").select("label", "text"), blocks)
     if not parts[0] or not parts[1]:
-        return Model(b"good", b"bad", [0.0] * 5)
-    model = Model(_dictionary(parts[1], size), _dictionary(parts[0], size), [0.0] * 5)
+        return Model(b"good", b"bad", [0.0] * 4)
+    model = Model(_dictionary(parts[1], size), _dictionary(parts[0], size), [0.0] * 4)
 
     def run(batches):
         tools = model.compressors()
@@ -108,7 +108,7 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = 4000, blocks: int = 3
 
     seen = rows.filter("half = 1").select("label", "text").mapInArrow(run, "label int, x array<double>").collect()
     if seen:
-        model.weights = [float(v) for v in fit_logistic([r.x for r in seen], [r.label for r in seen])]
+        model.weights = [float(v) for v in fit_logistic([r.x for r in seen], [r.label for r in seen], balanced=False)]
     return model
 
 

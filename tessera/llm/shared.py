@@ -1,41 +1,13 @@
-"""Helpers that the training-data operators share: materialised tables, sampling, components."""
+"""Helpers that the training-data operators share: sampling, calibration, components; tables in the shared folder."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.sources.shared import discard, materialise, shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a fresh one where it is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="tessera-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Writes df as Parquet to the shared folder and reads it back: lineage ends there and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tessera-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._tessera_path = path
-    return out
-
-
-def discard(df: DataFrame) -> None:
-    """Removes a table that materialise() wrote and that nothing reads any more."""
-    path = getattr(df, "_tessera_path", None)
-    if path:
-        spark = df.sparkSession
-        jvm = spark.sparkContext._jvm
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+__all__ = ["calibration", "connected_components", "discard", "fit_logistic", "held_out", "materialise", "shared_dir", "train_rows"]
 
 
 def train_rows(docs: DataFrame, labels: DataFrame, label_col: str, mod: int, held: int, holds: bool, bound: int) -> DataFrame:
@@ -86,6 +58,16 @@ def fit_logistic(x, y, l2: float = 1e-3, steps: int = 60, balanced: bool = True)
     return w
 
 
+def calibration(scores, y, bins: int = 10) -> tuple[float, float, list[tuple[int, float, float]]]:
+    """Brier score, expected calibration error, and (rows, mean score, share of ones) of each bin of scores that holds any."""
+    import numpy as np
+
+    scores, y = np.asarray(scores, float), np.asarray(y, float)
+    place = np.minimum((scores * bins).astype(int), bins - 1)
+    table = [(int((place == k).sum()), float(scores[place == k].mean()), float(y[place == k].mean())) for k in range(bins) if (place == k).any()]
+    return float(((scores - y) ** 2).mean()), sum(n * abs(p - t) for n, p, t in table) / len(y), table
+
+
 def connected_components(edges: DataFrame, src: str, dst: str) -> DataFrame:
     """(node, component) of the nodes that edges name; component is the smallest node reachable.
 

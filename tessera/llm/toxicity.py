@@ -1,18 +1,23 @@
 """Toxicity by a weighted lexicon that Aho-Corasick matches in folded text.
 
-Folding: NFKC, lower case, homoglyphs to Latin letters, digits and signs that stand for letters to those letters, everything
-else that is no letter to a space. The lexicon holds word beginnings and whole words with a weight, the log odds of their
-document frequency in toxic and clean labelled rows. Matches inside an exception phrase do not count. A text's features are
-its summed weight and that weight per hundred words; a logistic regression turns them into the score.
-
-Nulls: a null text counts as empty; its score is that of a text without matches. Repeated rows each keep a row. Without
-labelled rows of both classes the lexicon is SEED alone, with fixed weights. Further columns are ignored.
+Folding: decomposed (NFKD) without marks, lower case, homoglyphs to Latin letters, digits and signs that stand for letters to
+those letters, everything else that is no letter to a space. A one stands for i as well as l, so these two fold to one letter. An
+exclamation mark or bar before a letter may be a letter or a mark; a text that has any is matched both ways, and the heavier way
+counts. The lexicon holds word beginnings and whole words with a weight, the log odds of their document frequency in toxic and
+clean labelled rows. Matches inside an exception phrase do not count. A text's features are its summed weight and that weight per
+hundred words; a logistic regression turns them into the score.
+
+Nulls: a null text counts as empty; its score is that of a text without matches. Repeated rows each keep a row; equal texts score
+alike. Without labelled rows of both classes the lexicon is SEED alone, with fixed weights. Further columns are ignored. Empty
+tables give no rows.
 """
 
 from __future__ import annotations
 
+import bisect
 import json
 import math
+import re
 import unicodedata
 from collections import Counter
 from dataclasses import dataclass, field
@@ -29,8 +34,12 @@ HOMOGLYPHS = {
     "а": "a", "в": "b", "с": "c", "ԁ": "d", "е": "e", "һ": "h", "і": "i", "ј": "j", "к": "k", "ӏ": "l", "м": "m", "н": "h",
     "о": "o", "р": "p", "ѕ": "s", "т": "t", "у": "y", "х": "x", "ԛ": "q", "ԝ": "w", "α": "a", "ε": "e", "ι": "i", "κ": "k",
     "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x", "ı": "i", "ɑ": "a", "ɡ": "g", "ⅼ": "l",
+    "ø": "o", "đ": "d", "ł": "l", "ħ": "h", "ŧ": "t", "ɪ": "i", "ʀ": "r", "ɴ": "n", "ʟ": "l", "ʏ": "y", "ʙ": "b", "ɢ": "g",
+    "ʜ": "h", "ᴀ": "a", "ᴄ": "c", "ᴅ": "d", "ᴇ": "e", "ᴊ": "j", "ᴋ": "k", "ᴍ": "m", "ᴏ": "o", "ᴘ": "p", "ᴛ": "t", "ᴜ": "u",
+    "ᴠ": "v", "ᴡ": "w", "ᴢ": "z", "ɩ": "i", "ɛ": "e", "ɔ": "o",
 }
-SUBSTITUTIONS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s"}
+SUBSTITUTIONS = {"0": "o", "1": "i", "l": "i", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "€": "e"}
+STROKES = re.compile(r"[!|](?=[^\W_])")  # that may stand for i or l
 INVISIBLE = "​‌‍⁠﻿­"
 #: Words that insult a person, and phrases in which they do not.
 SEED = ("idiot", "moron", "imbecile", "stupid", "scum", "loser", "worthless", "pathetic", "disgusting", "trash", "clown")
@@ -42,22 +51,30 @@ LEAST, MOST = 3, 12  # letters of a word beginning that may enter the lexicon
 class _Fold(dict):
     def __missing__(self, c: int) -> str:
         s = chr(c)
-        out = SUBSTITUTIONS.get(s) or HOMOGLYPHS.get(s) or ("" if s in INVISIBLE else s if s.isalpha() else " ")
+        out = HOMOGLYPHS.get(s, s)
+        out = SUBSTITUTIONS.get(out) or ("" if s in INVISIBLE or unicodedata.category(s) == "Mn" else out if out.isalpha() else " ")
         self[c] = out
         return out
 
 
 _FOLD = _Fold()
+_MERGED = str.maketrans({"l": "i"})
 
 
 def fold(text: str | None) -> str:
     """The folded text: words of letters with single spaces between and around them."""
     t = text or ""
     if not t.isascii():
-        t = unicodedata.normalize("NFKC", t)
+        t = unicodedata.normalize("NFKD", t)
     return " " + " ".join(t.lower().translate(_FOLD).split()) + " "
 
 
+def ways(text: str | None) -> list[str]:
+    """The folded text, and the one with strokes as letters where there are any."""
+    t = text or ""
+    return [fold(t), fold(STROKES.sub("i", t))] if ("!" in t or "|" in t) and STROKES.search(t) else [fold(t)]
+
+
 @dataclass
 class Model:
     """patterns: folded word beginnings (leading space) and whole words (spaces at both ends) with their weights."""
@@ -71,15 +88,18 @@ class Model:
 
         out = ahocorasick.Automaton()
         for p, w in self.patterns.items():
-            out.add_word(p, (len(p), w))
+            out.add_word(p.translate(_MERGED), (len(p), w))
         for p in self.exceptions:
             out.add_word(p, (len(p), None))
         out.make_automaton()
         return out
 
     def features(self, text: str | None, automaton) -> tuple[float, float, int]:
-        """Summed weight, weight per hundred words, and matches. Of matches that begin at one word the heaviest counts."""
-        t = fold(text)
+        """Summed weight, weight per hundred words, and matches; of the ways to read the text the heaviest."""
+        return max(self._matched(t, automaton) for t in ways(text))
+
+    def _matched(self, t: str, automaton) -> tuple[float, float, int]:
+        """Of matches that begin at one word the heaviest counts."""
         found: dict[int, float] = {}
         free: list[tuple[int, int]] = []
         for end, (n, w) in automaton.iter(t):
@@ -88,10 +108,12 @@ class Model:
                 free.append((start, end))
             elif w > found.get(start, 0):
                 found[start] = w
-        for a, b in free:
-            for s in [s for s in found if a <= s < b]:
-                del found[s]
-        total = sum(found.values())
+        if free:
+            starts = sorted(found)
+            for a, b in free:
+                for s in starts[bisect.bisect_left(starts, a) : bisect.bisect_left(starts, b)]:
+                    found.pop(s, None)
+        total = math.fsum(found.values())
         return total, 100 * total / max(1, t.count(" ") - 1), len(found)
 
     def score(self, total: float, rate: float) -> float:
@@ -151,7 +173,7 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = 4000, mod: int = 5, h
     n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     n_toxic, n_clean = n.get(1, 0), n.get(0, 0)
     if not n_toxic or not n_clean:
-        return Model({f" {fold(w).strip()} ": SEED_WEIGHT for w in SEED}, [1.0, 1.0, -3.0])
+        return Model({fold(w): SEED_WEIGHT for w in SEED}, [1.0, 1.0, -3.0])
 
     def count(batches):
         import xxhash
@@ -169,7 +191,7 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = 4000, mod: int = 5, h
     table = table.filter((t >= least_docs) & (t * n_clean > 8 * c * n_toxic)).orderBy(F.desc(t / (c + 1)), "p").limit(most_patterns)
     patterns = choose([tuple(r) for r in table.collect()], n_toxic, n_clean, least_docs, math.log(8))
     for w in SEED:
-        p = f" {fold(w).strip()} "
+        p = fold(w)
         if not any(p.startswith(q) for q in patterns):
             patterns[p] = SEED_WEIGHT
     model = Model(patterns, [0.0, 0.0, 0.0])
