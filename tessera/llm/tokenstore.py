@@ -1,8 +1,10 @@
 """Token ids in a content-addressed store.
 
-Encoding: whole texts by the ``tokenizers`` library, without special tokens, an end id after each document. A byte-level
-vocabulary never joins a letter and the space after it, so texts are cut there; each distinct cut, and each distinct word in it,
-is encoded once a worker, while tables of bounded size hold them.
+Encoding: the ids of whole texts as the ``tokenizers`` library gives them, without special tokens, an end id after each document.
+They are got from the library word by word, which is the same: the tokenizer first splits a text by its own pattern, and merges
+nothing across those splits (tests/llm compares with the library over whole texts, of many distinct words and of none). So a text
+is cut where the pattern always splits, before a single space; each distinct cut of a batch is split and encoded once, and cuts of
+up to LONG characters are remembered a while, in two tables of bounded size.
 
 Chunks: a rolling hash over the last WINDOW ids ends a chunk wherever its low bits are zero, between LEAST and MOST ids; equal
 passages thus cut alike, wherever they stand. A chunk's address is the BLAKE2b digest of its bytes; chunks of one address are
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 from .shared import shared_dir
 
 WINDOW, LEAST, MOST, BITS = 8, 128, 4096, 9
-REMEMBERED = 450_000  # cuts of text in each of two tables
+REMEMBERED, LONG = 450_000, 40  # cuts of text in each of two tables, and their characters at most
 SPECIAL = "<|endoftext|>"
 #: Fixed value: the pattern by which byte-level tokenizers find words.
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -122,6 +124,7 @@ class Encoder:
             fresh.update(zip([distinct[i] for i in at], found))
             for i, raw in zip(at, found):
                 got[i] = raw
+        fresh = {x: raw for x, raw in fresh.items() if len(x) <= LONG}
         if len(self.known) + len(fresh) > REMEMBERED:  # what is still used moves on into the new table
             self.older, self.known = self.known, fresh
         else:
@@ -234,27 +237,28 @@ def write(docs: DataFrame, path: str | None = None, tokenizer: str | None = None
         seen: set[bytes] = set()
         for b in batches:
             for part in _slices(b):
-                rows = []
+                n, roots, keys, fresh, ends = [], [], [], [], [0]
+                if len(seen) > 2_000_000:
+                    seen.clear()
                 for raw in enc.encode_batch(part.column(1)):
                     raw += end
                     ids = np.frombuffer(raw, enc.kind)
-                    chunks, a = [], 0
+                    own, a = [], 0
                     for c in cuts(ids):
                         data = raw[a * enc.width : c * enc.width]
                         a = c
-                        chunks.append((address(data), data))
-                    if len(seen) > 2_000_000:
-                        seen.clear()
-                    fresh = []
-                    for key, data in chunks:
+                        key = address(data)
+                        own.append(key)
                         if key not in seen:  # a task's first sight of a chunk carries it
                             seen.add(key)
-                            fresh.append({"address": key, "n": len(data) // enc.width, "data": data})
-                    keys = [k for k, _ in chunks]
-                    rows.append((len(ids), merkle(keys), b"".join(keys), fresh))
-                n, roots, keys, fresh = zip(*rows, strict=True) if rows else ((), (), (), ())
+                            fresh.append((key, len(data) // enc.width, data))
+                    n.append(len(ids))
+                    roots.append(merkle(own))
+                    keys.append(b"".join(own))
+                    ends.append(len(fresh))
+                held = pa.StructArray.from_arrays([pa.array([x[i] for x in fresh], k) for i, k in enumerate((pa.binary(), pa.int32(), pa.binary()))], ["address", "n", "data"])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()), pa.array(roots, pa.binary()), pa.array(keys, pa.binary()), pa.array(fresh, pa.list_(pa.struct([("address", pa.binary()), ("n", pa.int32()), ("data", pa.binary())])))],
+                    [part.column(0), pa.array(n, pa.int64()), pa.array(roots, pa.binary()), pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), held)],
                     ["doc_id", "n_tokens", "root", "addresses", "fresh"],
                 )
 
@@ -277,7 +281,9 @@ def write(docs: DataFrame, path: str | None = None, tokenizer: str | None = None
             yield pa.RecordBatch.from_arrays([pa.array(np.full(k, part)), pa.array(np.arange(at, at + k)), *b.columns[:2], pa.array(starts), *b.columns[2:]], ["part", "place", "doc_id", "n_tokens", "local_start", "root", "addresses"])
             at, start = at + k, start + int(n.sum())
 
-    ordered = rows.select("doc_id", "n_tokens", "root", "addresses").repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "root")
+    # rows of one id and root are alike but for their place, which ``turn`` settles, so many of them need not meet in one part
+    order = [F.col("doc_id").asc_nulls_first(), "root", "turn"]
+    ordered = rows.select("doc_id", "n_tokens", "root", "addresses", F.monotonically_increasing_id().alias("turn")).repartitionByRange(*order).sortWithinPartitions(*order).drop("turn")
     ordered.mapInArrow(place, "part long, place long, doc_id long, n_tokens long, local_start long, root binary, addresses binary").write.parquet(f"{path}/recipes", **zstd)
     manifest(spark, path).write.parquet(f"{path}/manifest")
     _drop(spark, f"{path}/encoded")
@@ -321,9 +327,12 @@ def _uses(recipes: DataFrame) -> DataFrame:
 def digests(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of each document, from the files.
 
-    Each chunk is read once: its address is checked against its data, and the checksum of its ids taken. Recipes join the
-    checksums, which are combined in order, and their Merkle root is checked. A document whose chunks don't fit fails the query.
+    The manifest is checked first: its roots, sums and starts must be those of the recipes. Each chunk is read once: its address is
+    checked against its data, and the checksum of its ids taken. Recipes join the checksums, which are combined in order, and
+    their Merkle root is checked. A manifest or document that doesn't fit fails the query.
     """
+    if not verify(spark, path):
+        raise ValueError("the manifest is not what the recipes make")
     width = F.length("data") / F.col("n")
 
     def check(batches):

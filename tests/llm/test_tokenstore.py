@@ -71,6 +71,37 @@ def test_damage_is_seen(spark):
         T.digests(spark, path).collect()
 
 
+def test_a_wrong_manifest_is_seen(spark):
+    for change in ({"start": 5}, {"root": b"0" * 16}, {"n_tokens": 99}):
+        path = T.write(spark.createDataFrame([(1, "one two three", None, 1, "x"), (2, "four", None, 1, "x")], SCHEMA))
+        rows = [{**r.asDict(), **change} for r in spark.read.parquet(f"{path}/manifest").collect()]
+        assert T.verify(spark, path) and T.digests(spark, path).count() == 2
+        spark.createDataFrame(rows, "part long, documents long, n_tokens long, start long, root binary").write.mode("overwrite").parquet(f"{path}/manifest")
+        with pytest.raises(ValueError, match="manifest"):
+            T.digests(spark, path)
+
+
+def test_rows_of_one_id_spread_over_parts(spark):
+    docs = spark.range(4000).selectExpr("cast(null as bigint) as doc_id", "concat('text ', id % 3) as text", "'a' as lang", "id as part", "'r' as root")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = T.write(docs)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert spark.read.parquet(f"{path}/manifest").count() > 1
+    got = T.digests(spark, path).collect()
+    assert len(got) == 4000 and len({r.start for r in got}) == 4000 and max(r.start for r in got) == sum(r.n_tokens for r in got) - max(got, key=lambda r: r.start).n_tokens
+
+
+def test_many_distinct_words_and_very_long_texts(tool):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCé0123456789'-.,") for _ in range(rng.randrange(1, 16)))
+    texts = [" ".join(word() for _ in range(20_000)), "x" * 300_000, " " * 50_000 + "y", "日本語" * 30_000, "\n\n".join(word() for _ in range(5000)), ". , ".join(word() for _ in range(5000))]
+    enc = T.Encoder(T.default_tokenizer())
+    assert [np.frombuffer(x, enc.kind).tolist() + [0] for x in enc.encode_batch(texts)] == slow(texts, tool)
+    assert all(len(x) <= T.LONG for x in enc.known)
+
+
 def test_empty_table(spark):
     path = T.write(spark.createDataFrame([], SCHEMA))
     assert T.digests(spark, path).count() == 0 and T.verify(spark, path)
