@@ -7,8 +7,8 @@ each retrieve templates: a window that holds 80 % of a template's shingles has a
 the template fills its class), and so shares a band with it with a probability over 0.99995. The exact share of the template's
 distinct shingles that the window holds then decides: CONTAINED or more is a match.
 
-Two prunings lose nothing: each template shingle has a word or phrase of ``anchors``, so a text without any of them has no match;
-and a window without any template shingle has none. The texts left are written to the shared folder once, for all classes. Templates are fixed and few; over ``BROADCAST`` of them are joined, not sent.
+Two prunings lose nothing: every match holds a word or phrase of ``anchors``, so a text without any of them has none; and a window
+without any template shingle has none. The texts left are written to the shared folder once, for all classes. Templates are fixed and few; over ``BROADCAST`` of them are joined, not sent.
 
 Nulls: a null text counts as empty and has no match. Rows of one id, or without one, count together. Texts of under five words
 have no shingles. Empty tables give no rows. Further columns are ignored.
@@ -16,6 +16,7 @@ have no shingles. Empty tables give no rows. Further columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
@@ -29,7 +30,7 @@ BANDS = 48
 CONTAINED = 0.8
 BROADCAST = 10_000  # templates
 
-#: The notices of public licences, by name.
+#: The notices and, where they are short, the whole texts of public licences, by name.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
     "Apache-2.0-header": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.',
@@ -47,6 +48,27 @@ TEMPLATES = {
     "Unlicense": "This is free and unencumbered software released into the public domain.",
     "Zlib-notice": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",
     "BSL-1.0": "Distributed under the Boost Software License, Version 1.0.",
+    "AGPL-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "GPL-2.0-notice": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "GPL-warranty": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+    "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "EPL-1.0": "All rights reserved. This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html",
+    "MPL-2.0-copy": "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "MIT-warranty": 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.',
+    "MIT-whole": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.',
+    "ISC-whole": 'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.',
+    "BSD-source-clause": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "BSD-binary-clause": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "BSD-3-endorsement": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "BSD-4-advertising": "All advertising materials mentioning features or use of this software must display the following acknowledgement",
+    "BSD-warranty": 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.',
+    "Zlib-whole": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution.",
+    "Unlicense-whole": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.",
+    "BSL-1.0-whole": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following: The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor.",
+    "WTFPL": "Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is allowed as long as the name is changed.",
+    "Artistic-2.0": "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed.",
+    "All-rights-reserved": "All rights reserved. No part of this publication may be reproduced, stored in a retrieval system, or transmitted in any form or by any means without the prior written permission of the publisher.",
 }
 
 
@@ -65,15 +87,28 @@ def size_class(n: int) -> int:
 
 
 def anchors(templates: dict[str, str]) -> tuple[list[str], list[str]]:
-    """Words of six letters or more, and three-word phrases for the shingles that have no such word: each shingle has one of them."""
-    left = {s for t in templates.values() for s in shingles(t)}
+    """Words of six letters or more, and three-word phrases, of which every match holds one.
+
+    A match holds CONTAINED of a template's shingles, so it is enough that those without an anchor are fewer. Long words, and such
+    as serve several templates, come first; phrases serve where words don't suffice.
+    """
+    left = {name: set(shingles(t)) for name, t in templates.items()}
+    most = {name: len(s) for name, s in left.items()}
     out: tuple[list[str], list[str]] = ([], [])
     cut = (lambda s: {w for w in s.split() if len(w) >= 6}, lambda s: {" ".join(s.split()[i : i + 3]) for i in range(3)})
     for kept, parts in zip(out, cut, strict=True):
-        while seen := Counter(w for s in left for w in parts(s)):
-            best = max(seen, key=lambda w: (seen[w], w))
+        while True:
+            seen: Counter = Counter()
+            for name, own in left.items():
+                over = len(own) - math.ceil(CONTAINED * most[name]) + 1  # how many must still get an anchor
+                if over > 0:
+                    for w, n in Counter(w for s in own for w in parts(s)).items():
+                        seen[w] += min(n, over)
+            if not seen:
+                break
+            best = max(seen, key=lambda w: (seen[w] * len(w) ** 2, w))
             kept.append(best)
-            left = {s for s in left if best not in parts(s)}
+            left = {name: {s for s in own if best not in parts(s)} for name, own in left.items()}
     return out
 
 

@@ -5,9 +5,17 @@ from tessera.llm import licences as L
 SCHEMA = "doc_id long, text string, w string, h string, band string"
 
 
-def test_anchors_cover_every_shingle():
-    long, phrases = L.anchors(L.TEMPLATES)
-    assert all(any(w in s for w in [*long, *phrases]) for t in L.TEMPLATES.values() for s in L.shingles(t))
+def test_every_match_holds_an_anchor():
+    for templates in (L.TEMPLATES, {"one": "a b c d e"}, {"x": "to be or not to be that is it", "y": "licensed under the terms of it all"}):
+        long, phrases = L.anchors(templates)
+        for t in templates.values():
+            s = L.shingles(t)
+            assert sum(not any(f" {w} " in f" {x} " for w in [*long, *phrases]) for x in s) < L.CONTAINED * len(s)
+
+
+def test_templates_hold_whole_texts_and_common_families():
+    assert max(len(L.shingles(t)) for t in L.TEMPLATES.values()) > 100
+    assert all(any(x in n for n in L.TEMPLATES) for x in ("MIT-whole", "AGPL", "LGPL", "GPL-2", "EPL", "MPL", "BSD-3", "BSD-warranty", "CC0", "ISC-whole", "Zlib-whole", "Unlicense-whole"))
 
 
 def test_odd_rows_and_changed_notices(spark):
