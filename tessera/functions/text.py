@@ -5,6 +5,8 @@ All take and return Columns and stay inside Catalyst. A null text behaves as an
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,13 +29,17 @@ DOMAINS = {
 }
 
 
+#: Fixed value: white space, as it is stripped off the ends.
+WHITE = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def given(x: Column) -> Column:
     return F.coalesce(x, F.lit(""))
 
 
 def strip(x: Column) -> Column:
     """White space off both ends."""
-    return F.regexp_replace(given(x), r"^\s+|\s+$", "")
+    return F.btrim(given(x), F.lit(WHITE))
 
 
 def collapse(x: Column) -> Column:
@@ -129,11 +135,9 @@ def is_question(x: Column) -> Column:
 
 def new_words(question: Column, known: Column) -> Column:
     """Words of the question that are no number, not known, no free word, nor either without its last s."""
-    free = F.array(*[F.lit(w) for w in ALLOWED_EXTRAS])
-    pool = F.array_union(word_set(known), free)
-    return F.filter(
-        word_set(question), lambda w: ~w.rlike("^[0-9]+$") & ~F.array_contains(pool, w) & ~F.array_contains(pool, F.regexp_replace(w, "s+$", ""))
-    )
+    pool = F.array_union(word_set(known), F.array(*[F.lit(w) for w in ALLOWED_EXTRAS]))
+    words = F.filter(word_set(question), lambda w: ~w.rlike("^[0-9]+$"))
+    return bound(pool, lambda p: F.filter(F.array_except(words, p), lambda w: ~F.array_contains(p, F.rtrim(w, F.lit("s")))))
 
 
 def valid_question(question: Column, context: Column, answer: Column) -> Column:
@@ -189,5 +193,10 @@ def to_number(x: Column, missing_as_nan: bool = True) -> Column:
     return F.coalesce(out, F.lit(float("nan"))) if missing_as_nan else out
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), the value computed once a row, however often and in whatever lambda it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def blank(x: Column) -> Column:
     return strip(x) == ""

@@ -72,11 +72,18 @@ def conversation_checks(messages: Column, final_cap: int = 512) -> Column:
     )
 
 
+def analysis_fields(s: Column) -> Column:
+    """The fields of a record whose names speak of symbols, archetypes, patterns, themes or theology, as a map; null if there are none."""
+    held = F.map_filter(F.from_json(s, "map<string,string>"), lambda k, v: F.lower(k).rlike("symbol|archetyp|pattern|theme|theolog") & F.coalesce(T.strip(v) != "", F.lit(False)))
+    return F.when(F.size(held) > 0, held)
+
+
 def repair(s: Column) -> Column:
-    """Messages of a completed analysis record's JSON: system, user by its text, assistant with the channels it names."""
+    """Messages of a completed analysis record's JSON: system, user by its text, assistant with the channels it names or, for the
+    analysis, the fields that speak of it."""
     user = F.coalesce(*[filled(field(s, k)) for k in ("user", "text", "transcript", "content")], F.lit(""))
     final = F.coalesce(*[filled(field(s, k)) for k in ("final", "summary", "symbolic_summary")], F.lit(""))
-    analysis = F.coalesce(filled(field(s, "analysis")), F.when(has(s, "symbolic_meaning"), F.to_json(F.struct(field(s, "symbolic_meaning").alias("symbolic_meaning")))), F.lit(""))
+    analysis = F.coalesce(filled(field(s, "analysis")), F.to_json(analysis_fields(s)), F.lit(""))
     none = F.lit(None).cast("string")
     m = lambda r, c, a, f: F.struct(F.lit(r).alias("role"), c.alias("content"), a.alias("analysis"), f.alias("final"))
     return F.array(m("system", F.lit(PROMPT), none, none), m("user", user, none, none), m("assistant", none, analysis, final))

@@ -6,7 +6,7 @@ are sent, so retried tasks, reruns and repeated prompts cost no call. StubClient
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
@@ -69,10 +69,12 @@ def complete(rows: DataFrame, prompt: Column, make: Callable[[], ModelClient] =
 def fit_scores(question: Column, answer: Column, make: Callable[[], ModelClient] = StubClient) -> Column:
     """Scores of question and answer between 0 and 1, rounded to three places; null where the client has none."""
 
-    def run(q: pd.Series, a: pd.Series) -> pd.Series:
-        return pd.Series(make().score(list(zip(q.fillna(""), a.fillna("")))), dtype="float64")
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        client = make()
+        for q, a in batches:
+            yield pd.Series(client.score(list(zip(q.fillna(""), a.fillna("")))), dtype="float64")
 
-    run.__annotations__ = {"q": pd.Series, "a": pd.Series, "return": pd.Series}
+    run.__annotations__ = {"batches": Iterator[tuple[pd.Series, pd.Series]], "return": Iterator[pd.Series]}
     return F.bround(T.sigmoid(F.pandas_udf(run, "double")(question, answer)), 3)
 
 

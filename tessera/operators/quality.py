@@ -21,19 +21,35 @@ def hash_rank(key: Column, seed: int) -> Column:
     return F.substring(F.sha2(F.concat(F.lit(f"{seed}:"), key.cast("string")), 256), 1, 16)
 
 
-def _cut(df: DataFrame, key_col: str, seed: int, k: int) -> str | None:
-    """The k-th least hash: a threshold found by a bounded top-k, after which a filter needs no sort of the rows."""
-    rows = df.select(hash_rank(F.col(key_col), seed).alias("h")).orderBy("h").limit(k).agg(F.max("h")).first()
-    return rows[0]
+def _cut(df: DataFrame, key_col: str, seed: int, k: int, digits: int = 3, few: int = 4096) -> str:
+    """The k-th least hash, by counts of its leading digits: the range that holds it is halved 12 bits a pass, until ``few`` are left.
+
+    Each pass is a partial aggregate of 4,096 groups; no task sorts or holds the rows.
+    """
+    rows = df.select(hash_rank(F.col(key_col), seed).alias("h"))
+    head, before = "", 0
+    while len(head) < 16:
+        own = rows.filter(F.startswith("h", F.lit(head)))
+        n = min(len(head) + digits, 16)
+        left = 0
+        for r in own.groupBy(F.substring("h", 1, n).alias("p")).count().orderBy("p").collect():
+            if before + r["count"] >= k:
+                head, left = r.p, r["count"]
+                break
+            before += r["count"]
+        if left <= few:
+            return rows.filter(F.startswith("h", F.lit(head))).orderBy("h").limit(k - before).agg(F.max("h")).first()[0]
+    return head
 
 
 def sample(df: DataFrame, key_col: str, rate: float = 0.03, least: int = 50, seed: int = 7) -> DataFrame:
-    """The max(least, round(n * rate)) rows of least hash."""
-    n = df.count()
+    """The max(least, round(n * rate)) rows of least hash; none at a rate of zero or less, all at one or more."""
+    rate = min(rate, 1.0)
+    n = df.count() if rate > 0 else 0
     k = min(n, max(least, round(n * rate)))
     if k <= 0:
         return df.limit(0)
-    return df.filter(hash_rank(F.col(key_col), seed) <= _cut(df, key_col, seed, k))
+    return df if k == n else df.filter(hash_rank(F.col(key_col), seed) <= _cut(df, key_col, seed, k))
 
 
 def split(df: DataFrame, key_col: str, train: float = 0.9, seed: int = 7) -> DataFrame:
@@ -83,8 +99,9 @@ def ratio(a: Column, b: Column) -> Column:
 def near_duplicates(df: DataFrame, key_col: str, text_col: str, sample: DataFrame, least: float = 0.95, block: int = 2000) -> DataFrame:
     """(key_a, key_b, ratio): for each row of the sample (same columns), every other row whose text's ratio reaches ``least``.
 
-    The sample goes out in blocks of ``block`` rows; a row meets a block by two bounds that lose nothing (lengths, then counts of
-    characters, both at least the ratio), in one matrix operation, and only what they leave is compared.
+    The sample is dealt into groups and the rows into blocks of about ``block``; all pairs of group and block are the groups of one
+    cogrouped plan. A row meets a group by two bounds that lose nothing (lengths, then counts of characters, both at least the
+    ratio), in one matrix operation, and only what they leave is compared.
     """
     from difflib import SequenceMatcher
 
@@ -93,38 +110,32 @@ def near_duplicates(df: DataFrame, key_col: str, text_col: str, sample: DataFram
     def counts(t: str) -> np.ndarray:
         return np.bincount(np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) % 128, minlength=128)
 
-    spark = df.sparkSession
     key_type = df.schema[key_col].dataType.simpleString()
     rows = df.select(F.col(key_col).alias("key"), F.col(text_col).alias("t")).filter("t is not null and t <> ''")
-    picked = sample.select(F.col(key_col).alias("key"), F.col(text_col).alias("t")).filter("t is not null and t <> ''")
-    n_blocks = -(-picked.count() // block)
-    out = None
-    for k in range(n_blocks):
-        part = picked if n_blocks == 1 else picked.filter(F.pmod(F.xxhash64("key"), F.lit(n_blocks)) == k)
-        held = [tuple(r) for r in part.collect()]
-        if not held:
-            continue
-        sent = spark.sparkContext.broadcast(held)
-
-        def run(batches, sent=sent):
-            own = sent.value
-            table = np.array([counts(t) for _, t in own])
+    picked = sample.select(F.col(key_col).alias("k"), F.col(text_col).alias("s")).filter("s is not null and s <> ''")
+    n_groups, n_blocks = max(1, -(-picked.count() // block)), max(1, -(-rows.count() // block))
+    deal = lambda c, n, salt: F.pmod(F.xxhash64(c, F.monotonically_increasing_id(), F.lit(salt)), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    a = picked.withColumn("g", deal("k", n_groups, 1)).withColumn("b", every(n_blocks))
+    b = rows.withColumn("bb", deal("key", n_blocks, 2)).withColumn("gg", every(n_groups))
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(left) and len(right):
+            table = np.array([counts(t) for t in left["s"]])
             sizes = table.sum(1)
-            for b in batches:
-                found = []
-                for key, t in zip(b["key"], b["t"]):
-                    mine = counts(t)
-                    n = mine.sum()
-                    close = np.flatnonzero(2 * np.minimum(sizes, n) >= least * (sizes + n))
-                    close = close[2 * np.minimum(table[close], mine).sum(1) >= least * (sizes[close] + n)]
-                    for i in close:
-                        if own[i][0] != key and (r := SequenceMatcher(None, own[i][1], t).ratio()) >= least:
-                            found.append((own[i][0], key, r))
-                yield pd.DataFrame(found, columns=["key_a", "key_b", "ratio"])
-
-        found = rows.mapInPandas(run, f"key_a {key_type}, key_b {key_type}, ratio double")
-        out = found if out is None else out.union(found)
-    return out if out is not None else spark.createDataFrame([], f"key_a {key_type}, key_b {key_type}, ratio double")
+            own, texts = left["k"].tolist(), left["s"].tolist()
+            for key, t in zip(right["key"].tolist(), right["t"]):
+                mine = counts(t)
+                n = mine.sum()
+                close = np.flatnonzero(2 * np.minimum(sizes, n) >= least * (sizes + n))
+                close = close[2 * np.minimum(table[close], mine).sum(1) >= least * (sizes[close] + n)]
+                for i in close:
+                    if own[i] != key and (r := SequenceMatcher(None, texts[i], t).ratio()) >= least:
+                        found.append((own[i], key, r))
+        return pd.DataFrame(found, columns=["key_a", "key_b", "ratio"])
+
+    return a.groupBy("g", "b").cogroup(b.groupBy("gg", "bb")).applyInPandas(run, f"key_a {key_type}, key_b {key_type}, ratio double")
 
 
 def role_statistics(turns: DataFrame, id_col: str, role_col: str = "role", text_col: str = "text") -> DataFrame:
@@ -134,13 +145,43 @@ def role_statistics(turns: DataFrame, id_col: str, role_col: str = "role", text_
     return by.join(F.broadcast(total)).select("role", "messages", (F.col("messages") / F.col("total")).alias("share"), (F.col("chars") / F.col("messages")).alias("avg_chars"))
 
 
-def rank_percentile(values: DataFrame, col: str, p: float) -> DataFrame:
-    """(n, mean, p): the value of rank round((n - 1) * p), halves to even, by counts of distinct values."""
-    by = values.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).count()
-    w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    total = by.agg(F.sum("count").alias("n"), (F.sum(F.col("v") * F.col("count")) / F.sum("count")).alias("mean"))
-    ranked = by.withColumn("upto", F.sum("count").over(w)).join(F.broadcast(total))
-    return ranked.filter(F.col("upto") >= F.rint((F.col("n") - 1) * p) + 1).groupBy("n", "mean").agg(F.min("v").alias("value"))
+def set_statistics(turns: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
+    """(samples, messages, avg_messages, avg_chars) of a whole set."""
+    row = turns.groupBy(id_col).agg(F.count("*").alias("m"), F.sum(F.length(T.given(F.col(text_col)))).alias("c")).agg(F.count("*").alias("samples"), F.coalesce(F.sum("m"), F.lit(0)).alias("messages"), F.coalesce(F.sum("c"), F.lit(0)).alias("c"))
+    mean = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(0.0)
+    return row.select("samples", "messages", mean("messages", "samples").alias("avg_messages"), mean("c", "messages").alias("avg_chars"))
+
+
+def kth_value(values: DataFrame, col: str, k: int, bins: int = 4096) -> float | None:
+    """The k-th least of a numeric column (from 1), by histograms of a narrowing range; no task sorts or holds the rows."""
+    rows = values.select(F.col(col).cast("double").alias("v")).filter("v is not null and not isnan(v)")
+    low, high = rows.agg(F.min("v"), F.max("v")).first()
+    before = 0
+    while low is not None and low < high:
+        width = (high - low) / bins
+        if width <= 0 or low + width == low:
+            break
+        place = F.least(F.floor((F.col("v") - low) / width), F.lit(bins - 1))
+        held = rows.filter(F.col("v").between(low, high)).groupBy(place.alias("p")).agg(F.count("*").alias("n"), F.min("v").alias("a"), F.max("v").alias("b"))
+        for r in held.orderBy("p").collect():
+            if before + r.n >= k:
+                low, high = r.a, r.b
+                break
+            before += r.n
+    return low
+
+
+def rank_percentile(values: DataFrame, col: str, p: float, skip_zero: bool = False) -> DataFrame:
+    """(n, mean, value): the value of rank round((n - 1) * p), halves to even; zeros where there are no values.
+
+    skip_zero leaves out counts of zero, as a summary of tokens does.
+    """
+    rows = values.filter(F.col(col).isNotNull() & (F.col(col) != 0 if skip_zero else F.lit(True)))
+    n, mean = rows.agg(F.count("*"), F.avg(col)).first()
+    value = kth_value(rows, col, round((n - 1) * p) + 1) if n else 0.0
+    kind = values.schema[col].dataType.simpleString()
+    out = values.sparkSession.createDataFrame([(n, mean or 0.0, float(value or 0.0))], "n long, mean double, value double")
+    return out.select("n", "mean", F.col("value").cast(kind).alias("value"))
 
 
 def histogram(df: DataFrame, value: Column, width: int) -> DataFrame:
@@ -157,7 +198,7 @@ def roll_up(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
 def failure_kind(response: Column, error: Column) -> Column:
     """The category of a failed generation: by the error if there is one, else by what the response looks like."""
     low, said = F.lower(error), T.given(response)
-    by_error = F.when(F.contains(low, F.lit("schema")), "invalid_schema").when(low.rlike("|".join(SERVICE_ERRORS)), "api_errors").otherwise("other_errors")
+    by_error = F.when(F.contains(low, F.lit("authentication")) | F.contains(low, F.lit("api key")), "authentication_error").when(F.contains(low, F.lit("schema")), "invalid_schema").when(low.rlike("|".join(SERVICE_ERRORS)), "api_errors").otherwise("other_errors")
     by_text = F.when(T.blank(said), "empty_responses").when(said.rlike(r"[{}\[\]]"), "json_parsing_errors").otherwise("malformed_responses")
     return F.when(error.isNotNull() & (error != ""), by_error).otherwise(by_text)
 

@@ -94,6 +94,12 @@ def flatten_channels(messages: Column) -> Column:
     return F.transform(messages, one)
 
 
+def flattened(messages: Column) -> Column:
+    """(messages, modified): flatten_channels(), and whether it changed anything."""
+    out = flatten_channels(messages)
+    return F.struct(out.alias("messages"), (~out.eqNullSafe(messages)).alias("modified"))
+
+
 def move_leaked(analysis: Column, summary: Column) -> Column:
     """(analysis, summary): lines of the summary with an analysis label move to the analysis map, unless it has the field."""
     lines = F.split(T.given(summary), "\n")

@@ -6,10 +6,12 @@ unknown. Every operator partitions by episode, so no episode flows into another,
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tessera.functions import text as T
 
@@ -19,8 +21,9 @@ CUES = ("let me ask", "the question is", "the question then is", "what i am wond
 
 
 def from_conversations(turns: DataFrame) -> DataFrame:
-    """Segments of a conversation table (conv_id, turn, role, text), with times derived from the texts' lengths."""
-    dur = F.length("text") / F.lit(15.0)
+    """Segments of a conversation table (conv_id, turn, role, text), with times derived from the texts' lengths: sixteenths of a
+    second, which doubles hold exactly, so that sums do not depend on their order."""
+    dur = F.length("text") / F.lit(16.0)
     pause = ((F.col("conv_id") * 7 + F.col("turn") * 13) % 5) * F.lit(0.5)
     w = Window.partitionBy("conv_id").orderBy("turn")
     end = F.sum(dur + pause).over(w.rowsBetween(Window.unboundedPreceding, 0))
@@ -48,56 +51,65 @@ def combine(islands: DataFrame, sep: str = " ") -> DataFrame:
 def merge_by_gap(segments: DataFrame, max_gap: float = 1.0) -> DataFrame:
     """Segments merged while the gap to the one before is ``max_gap`` or less; an unknown time ends a group."""
     w = Window.partitionBy("episode_id").orderBy("seq")
-    gap = F.round(F.col("start") - F.lag("end").over(w), 3)
+    gap = F.col("start") - F.lag("end").over(w)
     return combine(_islands(segments, ~(~F.isnan(gap) & (gap <= max_gap))))
 
 
-def merge_with_cap(segments: DataFrame, max_gap: float = 1.0, max_length: int = 1200) -> DataFrame:
-    """As merge_by_gap, and a group's joined text stays within ``max_length``; a fold over each episode's ordered rows.
+def numbered_by_fold(rows: DataFrame, cols: tuple[str, ...], fold: Callable[[tuple | None, tuple], tuple[bool, tuple]]) -> DataFrame:
+    """rows with ``island``: fold(state, values) tells whether a row joins the open group, and the state after it.
 
-    The fold carries the open group's number, last end and length, so an episode's rows need no text in the fold.
+    Rows are sorted within their partition and pass by once, in Arrow batches; only the open group's state is held, never an
+    episode. The state is None at an episode's first row.
     """
-    w = Window.partitionBy("episode_id").orderBy("seq")
-    rows = segments.withColumn("row", F.row_number().over(w))
-    items = F.array_sort(F.collect_list(F.struct("row", "start", "end", F.length(T.given(F.col("text"))).alias("size"))))
-    start = F.struct(F.lit(0).alias("g"), F.lit(None).cast("double").alias("end"), F.lit(0).alias("size"), F.array().cast("array<struct<row:int,g:int>>").alias("out"))
+    schema = StructType([*rows.schema.fields, StructField("island", LongType())])
+    at = [rows.columns.index(c) for c in ("episode_id", *cols)]
+
+    def run(batches):
+        episode, state, n = object(), None, 0
+        for b in batches:
+            ids = []
+            for e, *values in zip(*(b.column(i).to_pylist() for i in at)):
+                if e != episode:
+                    episode, state, n = e, None, 0
+                joins, state = fold(state, values)
+                n += not joins
+                ids.append(n)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.int64())], [*b.schema.names, "island"])
+
+    return rows.repartition("episode_id").sortWithinPartitions("episode_id", "seq").mapInArrow(run, schema)
 
-    def step(acc, x):
-        gap = F.round(x["start"] - acc["end"], 3)
-        joined = acc["size"] + 1 + x["size"]
-        fits = F.coalesce(~F.isnan(gap) & (gap <= max_gap) & (joined <= max_length), F.lit(False))
-        g = F.when(fits, acc["g"]).otherwise(acc["g"] + 1)
-        return F.struct(g.alias("g"), x["end"].alias("end"), F.when(fits, joined).otherwise(x["size"]).alias("size"), F.array_append(acc["out"], F.struct(x["row"].alias("row"), g.alias("g"))).alias("out"))
 
-    groups = rows.groupBy("episode_id").agg(items.alias("items")).select("episode_id", F.explode(F.aggregate("items", start, step, lambda a: a["out"])).alias("x"))
-    groups = groups.select("episode_id", F.col("x.row").alias("row"), F.col("x.g").alias("island"))
-    return combine(rows.join(groups, ["episode_id", "row"]))
+def merge_with_cap(segments: DataFrame, max_gap: float = 1.0, max_length: int = 1200) -> DataFrame:
+    """As merge_by_gap, and a group's joined text stays within ``max_length``."""
+
+    def fold(state, row):
+        start, end, size = row
+        if state and start is not None and state[0] is not None and start - state[0] <= max_gap and state[1] + 1 + size <= max_length:
+            return True, (end, state[1] + 1 + size)
+        return False, (end, size)
+
+    sized = segments.withColumn("_size", F.length(T.given(F.col("text"))))
+    return combine(numbered_by_fold(sized, ("start", "end", "_size"), fold).drop("_size"))
 
 
 def merge_same_speaker(segments: DataFrame, merge_gap: float = 1.0) -> DataFrame:
     """Neighbours of one speaker merged if the gap is small or a time is unknown; the last known end counts."""
     w = Window.partitionBy("episode_id").orderBy("seq")
     known = F.last("end", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    gap = F.round(F.col("start") - known, 3)
+    gap = F.col("start") - known
     return combine(_islands(segments, (F.lag("speaker").over(w) != F.col("speaker")) | (gap.isNotNull() & ~(gap <= merge_gap))))
 
 
 def merge_small_chunks(chunks: DataFrame, max_tokens: int = 800) -> DataFrame:
     """Chunks (episode_id, seq, speaker, text, token_count) of one speaker merged while their tokens stay under the cap."""
 
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("seq")
-        ids, n, total, last = [], 0, 0, None
-        for speaker, tokens in zip(group["speaker"], group["token_count"]):
-            if last is not None and speaker == last and total + tokens < max_tokens:
-                total += tokens
-            else:
-                n, total, last = n + 1, tokens, speaker
-            ids.append(n)
-        return group.assign(island=ids)
-
-    schema = chunks.select("episode_id", "seq", "speaker", "text", "token_count").withColumn("island", F.lit(0).cast("long")).schema
-    merged = chunks.select("episode_id", "seq", "speaker", "text", "token_count").groupBy("episode_id").applyInPandas(fold, schema)
+    def fold(state, row):
+        speaker, tokens = row
+        if state and speaker == state[0] and state[1] + (tokens or 0) < max_tokens:
+            return True, (speaker, state[1] + (tokens or 0))
+        return False, (speaker, tokens or 0)
+
+    merged = numbered_by_fold(chunks.select("episode_id", "seq", "speaker", "text", "token_count"), ("speaker", "token_count"), fold)
     out = merged.groupBy("episode_id", "island").agg(F.min("seq").alias("seq"), F.min_by("speaker", "seq").alias("speaker"), ordered_text(F.col("seq"), F.col("text"), "\n").alias("text"))
     return out.withColumn("token_count", T.count_tokens(F.col("text")))
 

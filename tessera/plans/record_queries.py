@@ -63,14 +63,14 @@ def q_qc_sample(spark, sf_dir):
     return Q.sample(table(spark, sf_dir, "documents").select("doc_id"), "doc_id")
 
 
-@query("SELECT item_id FROM benchmark INTERSECT SELECT doc_id FROM documents WHERE doc_id % 3 = 0")
+@query("SELECT item_id FROM benchmark INTERSECT SELECT doc_id FROM documents")
 def q_leakage(spark, sf_dir):
-    return Q.leakage(table(spark, sf_dir, "benchmark").select("item_id"), table(spark, sf_dir, "documents").filter("doc_id % 3 = 0").select(F.col("doc_id").alias("item_id")), "item_id")
+    return Q.leakage(table(spark, sf_dir, "benchmark").select("item_id"), table(spark, sf_dir, "documents").select(F.col("doc_id").alias("item_id")), "item_id")
 
 
-@query("SELECT coalesce(l.doc_id, r.doc_id) AS record_index, l.doc_id IS NOT NULL AND r.doc_id IS NOT NULL AS aligned FROM (SELECT doc_id FROM documents WHERE doc_id % 10 <> 0) l FULL JOIN (SELECT doc_id FROM labels) r ON l.doc_id = r.doc_id")
+@query("SELECT coalesce(l.doc_id, r.doc_id) AS record_index, l.doc_id IS NOT NULL AND r.doc_id IS NOT NULL AS aligned FROM (SELECT item_id AS doc_id FROM benchmark) l FULL JOIN (SELECT doc_id FROM labels) r ON l.doc_id = r.doc_id")
 def q_positional_align(spark, sf_dir):
-    l = table(spark, sf_dir, "documents").filter("doc_id % 10 <> 0").select(F.col("doc_id").alias("record_index"), "lang")
+    l = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("record_index"), "text")
     return Q.align(l, table(spark, sf_dir, "labels").select(F.col("doc_id").alias("record_index"), "quality")).select("record_index", "aligned")
 
 
@@ -286,7 +286,7 @@ def _graph(spark, sf_dir):
 @query("""SELECT 'r' || n_regionkey || '>n' || n_nationkey || coalesce('>s' || s_suppkey, '') AS path FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey""")
 def q_graph_paths(spark, sf_dir):
     roots, edges = _graph(spark, sf_dir)
-    return P.root_paths(edges, roots, 6).select(F.array_join("path", ">").alias("path"))
+    return P.root_paths(edges, roots).select(F.array_join("path", ">").alias("path"))
 
 
 @query("""SELECT DISTINCT unnest(['r' || n_regionkey, 'n' || n_nationkey]) AS id FROM nation WHERE n_nationkey % 5 = 0""")
@@ -308,8 +308,8 @@ def q_tree_level(spark, sf_dir):
 @query("""SELECT n_name AS name, CASE WHEN n_nationkey % 3 = 0 THEN 'later' ELSE 'first' END AS description FROM nation""")
 def q_tool_override_union(spark, sf_dir):
     n = table(spark, sf_dir, "nation")
-    a = n.select(F.col("n_name").alias("name"), F.lit("first").alias("description"))
-    return P.merge_tools([a, n.filter("n_nationkey % 3 = 0").select(F.col("n_name").alias("name"), F.lit("later").alias("description"))])
+    a = n.select(F.col("n_name").alias("name"), F.lit("first").alias("description"), F.col("n_nationkey").alias("i"))
+    return P.merge_tools([a, n.filter("n_nationkey % 3 = 0").select(F.col("n_name").alias("name"), F.lit("later").alias("description"), F.col("n_nationkey").alias("i"))], "i")
 
 
 @query("SELECT doc_id, ['a', source] AS items FROM documents")

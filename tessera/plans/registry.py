@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.plans import record_queries, text_queries, turn_queries
+from tessera.plans import record_queries, source_queries, stage_queries, text_queries, turn_queries
 
-MODULES = (text_queries, turn_queries, record_queries)
+MODULES = (text_queries, turn_queries, record_queries, source_queries, stage_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

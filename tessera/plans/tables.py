@@ -38,8 +38,8 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SEGMENTS_SQL = """seg AS (
   SELECT conv_id AS episode_id, turn AS seq, e - dur AS "start", e AS "end", role AS speaker, text FROM (
-    SELECT conv_id, turn, role, text, length(text) / 15.0::DOUBLE AS dur,
-      sum(length(text) / 15.0::DOUBLE + ((conv_id * 7 + turn * 13) % 5) * 0.5::DOUBLE) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS e
+    SELECT conv_id, turn, role, text, length(text) / 16.0::DOUBLE AS dur,
+      sum(length(text) / 16.0::DOUBLE + ((conv_id * 7 + turn * 13) % 5) * 0.5::DOUBLE) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS e
     FROM conversations))"""
 
 

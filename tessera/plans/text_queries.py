@@ -114,11 +114,6 @@ def q_verbatim_span(spark, sf_dir):
     return rows.select("pair_id", U.verbatim_span(F.col("answer"), part).alias("x")).select("pair_id", "x.start", "x.end")
 
 
-@query()
-def q_chunk_text(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(U.chunks(F.col("text"), 200)).alias("chunk", "text"))
-
-
 @query(r"SELECT doc_id, len(x)::INTEGER AS marks FROM (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda l: trim(l)), lambda l: regexp_matches(l, '(?i)^(Reasoning:|Let''s think|\d+\.|\*\s*\d+\.)')) AS x FROM (SELECT doc_id, text || chr(10) || CASE doc_id % 3 WHEN 0 THEN '1. first' WHEN 1 THEN ' reasoning: x' ELSE 'none' END AS text FROM documents))")
 def q_reasoning_markers(spark, sf_dir):
     extra = F.when(F.col("doc_id") % 3 == 0, "1. first").when(F.col("doc_id") % 3 == 1, " reasoning: x").otherwise("none")

@@ -20,7 +20,7 @@ _GROUPS = """SELECT episode_id, min(seq) AS seq, count(*) AS n, round(min("start
 
 
 @query(
-    f"""WITH {SEGMENTS_SQL}, g AS (SELECT *, round("start" - lag("end") OVER w, 3) AS gap FROM seg WINDOW w AS (PARTITION BY episode_id ORDER BY seq)),
+    f"""WITH {SEGMENTS_SQL}, g AS (SELECT *, "start" - lag("end") OVER w AS gap FROM seg WINDOW w AS (PARTITION BY episode_id ORDER BY seq)),
     i AS (SELECT *, sum(CASE WHEN gap <= 1.0 THEN 0 ELSE 1 END) OVER (PARTITION BY episode_id ORDER BY seq) AS island FROM g) {_GROUPS.format(x='i')}"""
 )
 def q_gap_merge(spark, sf_dir):
@@ -30,8 +30,8 @@ def q_gap_merge(spark, sf_dir):
 @query(
     f"""WITH RECURSIVE {SEGMENTS_SQL}, r AS (SELECT *, row_number() OVER (PARTITION BY episode_id ORDER BY seq) AS k FROM seg),
     f AS (SELECT episode_id, seq, "start", "end", text, k, 1 AS island, length(text) AS size FROM r WHERE k = 1
-      UNION ALL SELECT r.episode_id, r.seq, r."start", r."end", r.text, r.k, f.island + CASE WHEN round(r."start" - f."end", 3) <= 1.5 AND f.size + 1 + length(r.text) <= 1200 THEN 0 ELSE 1 END,
-        CASE WHEN round(r."start" - f."end", 3) <= 1.5 AND f.size + 1 + length(r.text) <= 1200 THEN f.size + 1 + length(r.text) ELSE length(r.text) END
+      UNION ALL SELECT r.episode_id, r.seq, r."start", r."end", r.text, r.k, f.island + CASE WHEN r."start" - f."end" <= 1.5 AND f.size + 1 + length(r.text) <= 1200 THEN 0 ELSE 1 END,
+        CASE WHEN r."start" - f."end" <= 1.5 AND f.size + 1 + length(r.text) <= 1200 THEN f.size + 1 + length(r.text) ELSE length(r.text) END
       FROM f JOIN r ON r.episode_id = f.episode_id AND r.k = f.k + 1) {_GROUPS.format(x='f')}"""
 )
 def q_gap_merge_capped(spark, sf_dir):
@@ -42,7 +42,7 @@ _SAME = "SELECT episode_id, min(seq) AS seq, count(*) AS n, arg_min(speaker, seq
 
 
 @query(
-    f"""WITH {SEGMENTS_SQL}, p AS (SELECT conv.*, round(conv."start" - lag("end") OVER w, 3) AS gap, lag(speaker) OVER w AS before FROM (SELECT episode_id, seq, "start", "end", CASE WHEN seq % 3 = 0 THEN 'user' ELSE speaker END AS speaker, text FROM seg) conv WINDOW w AS (PARTITION BY episode_id ORDER BY seq)),
+    f"""WITH {SEGMENTS_SQL}, p AS (SELECT conv.*, conv."start" - lag("end") OVER w AS gap, lag(speaker) OVER w AS before FROM (SELECT episode_id, seq, "start", "end", CASE WHEN seq % 3 = 0 THEN 'user' ELSE speaker END AS speaker, text FROM seg) conv WINDOW w AS (PARTITION BY episode_id ORDER BY seq)),
     i AS (SELECT *, sum(CASE WHEN before = speaker AND (gap IS NULL OR gap <= 1.5) THEN 0 ELSE 1 END) OVER (PARTITION BY episode_id ORDER BY seq) AS island FROM p) {_SAME}"""
 )
 def q_consecutive_merge(spark, sf_dir):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text as T
 from tessera.functions import udf as U
+from tessera.operators import chunking as K
 from tessera.operators import formats as X
 from tessera.operators import gates as G
 from tessera.operators import quality as Q
@@ -83,7 +84,7 @@ def test_gates(spark):
 def test_text_udfs(spark):
     assert U.span_in("He said “Yes, now” again", '"Yes, now"') == (9, 17) and U.span_in("He said: yes now. Go", "yes now.") == (9, 16) and U.span_in("unknown", "know") is None and U.span_in("a b", "...") is None
     assert U.parse_list("x ['a', 'it's'] y") == ["a", "it’s"] and U.parse_list("none") == [] and U.parse_list("[1, [2]]") == ["1", "[2]"]
-    assert " ".join(U.pack_sentences("One. Two three. " + "x" * 90, 10)).replace(" ", "") == ("One. Two three. " + "x" * 90).replace(" ", "")
+    assert " ".join(t for t, _ in K.pack("One. Two three. " + "x" * 90, 10, K.Quarters())).replace(" ", "") == ("One. Two three. " + "x" * 90).replace(" ", "")
     assert one(spark, U.clock_numbers, '{"start": 1:30, "n": 07}') == '{"start": 90.0, "n": 7}'
     assert one(spark, R.math_answer, "1,234.5678") == "1234.57" and one(spark, R.math_answer, "2, 3") == "2" and one(spark, R.math_answer, "x") is None
     assert one(spark, T.fingerprint, "A, b!", "C") == one(spark, T.fingerprint, "a b", "c?")

@@ -1,6 +1,9 @@
+import time
+
 from pyspark.sql import functions as F
 
 from tessera.functions import udf as U
+from tessera.operators import chunking as K
 from tessera.operators import convert as C
 from tessera.operators import models as M
 from tessera.streaming import sessions as W
@@ -43,7 +46,7 @@ def test_conversion(spark):
     assert all(r.c == [] for r in C.conversations(chunks, C.transcripts(segs)).select(C.conversation_checks(F.col("messages")).alias("c")).collect())
     long = spark.createDataFrame([("One two. Three four five. Six.",), ("x" * 90,), ("short",)], "t string")
     assert [r.t for r in long.select(C.sentence_budget(F.col("t"), 6).alias("t")).collect()] == ["One two. Three four five.", "", "short"]
-    assert U.pack_sentences("Aa bb. Cc dd. " + "z" * 50 + ". End.", 5) == ["Aa bb. Cc dd.", "z" * 20, "z" * 20, "z" * 10 + ".", "End."]
+    assert [t for t, _ in K.pack("Aa bb. Cc dd. " + "z" * 50 + ". End.", 5, K.Quarters())] == ["Aa bb. Cc dd.", "z" * 20, "z" * 20, "z" * 10 + ".", "End."]
 
 
 def test_sessions_in_batch_and_stream(spark, tmp_path):
@@ -58,13 +61,62 @@ def test_sessions_in_batch_and_stream(spark, tmp_path):
     assert {(r.k, r.n) for r in spark.table("sessions_out").collect()} == want
 
 
-def test_capped_merge_stream(spark, tmp_path):
-    rows = spark.createDataFrame([(1, 0, 0.0, 1.0, "aa"), (1, 1, 1.5, 2.0, "bb"), (1, 2, 9.0, 10.0, "cc"), (1, 3, 10.0, 11.0, "d" * 8), (1, 4, 11.0, 12.0, "e")], "episode_id long, seq long, start double, end double, text string")
+def merged(spark, tmp_path, rows, name, want, **options):
     rows.coalesce(1).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
-    q = W.capped_merge(stream, max_length=10).writeStream.format("memory").queryName("merged_out").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
-    assert q.awaitTermination(90)
-    assert {(r["first"], r.n, r.text) for r in spark.table("merged_out").collect()} == {(0, 2, "aa bb"), (2, 1, "cc")}
+    q = W.capped_merge(stream, max_length=10, **options).writeStream.format("memory").queryName(name).outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).start()
+    try:
+        q.processAllAvailable() if not options.get("quiet_ms") else None
+        until = time.time() + 60
+        while time.time() < until and (got := {(r["first"], r.n, r.text) for r in spark.table(name).collect()}) != want:
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    return got
+
+
+ROWS = [(1, 0, 0.0, 1.0, "aa"), (1, 1, 1.5, 2.0, "bb"), (1, 2, 9.0, 10.0, "cc"), (1, 3, 10.0, 11.0, "d" * 8), (1, 4, 11.0, 12.0, "e")]
+SEGMENTS = "episode_id long, seq long, start double, end double, text string"
+
+
+def test_capped_merge_stream(spark, tmp_path):
+    want = {(0, 2, "aa bb"), (2, 1, "cc")}
+    assert merged(spark, tmp_path, spark.createDataFrame(ROWS, SEGMENTS), "merged_out", want, quiet_ms=None) == want
+
+
+def test_quiet_keys_are_sent_and_unknown_times_end_a_group(spark, tmp_path):
+    rows = [*ROWS, (1, 5, float("nan"), 13.0, "f"), (1, 6, 13.5, float("nan"), "g"), (1, 7, 13.6, 14.0, None)]
+    want = {(0, 2, "aa bb"), (2, 1, "cc"), (3, 2, "dddddddd e"), (5, 2, "f g"), (7, 1, "")}
+    assert merged(spark, tmp_path, spark.createDataFrame(rows, SEGMENTS), "merged_quiet", want, quiet_ms=1000) == want
+
+
+def test_late_rows_are_passed_over(spark):
+    import pandas as pd
+
+    held = {}
+
+    class State:
+        exists, hasTimedOut = property(lambda s: "x" in held), False
+        get = property(lambda s: held["x"])
+
+        def update(self, x):
+            held["x"] = x
+
+    fold = {}
+
+    class Frame:
+        schema = spark.createDataFrame([], SEGMENTS).schema
+
+        def groupBy(self, key):
+            return self
+
+        def applyInPandasWithState(self, f, *rest):
+            fold["f"] = f
+
+    W.capped_merge(Frame(), quiet_ms=None)
+    batch = lambda *rows: list(fold["f"]((1,), iter([pd.DataFrame(rows, columns=["episode_id", "seq", "start", "end", "text"])]), State()))[0].values.tolist()
+    assert batch((1, 5, 5.0, 6.0, "b"), (1, 2, 2.0, 3.0, "a")) == [[1, 2, 1, "a"]]  # a batch is put in order
+    assert batch((1, 4, 3.5, 4.0, "late"), (1, 9, 20.0, 21.0, "c")) == [[1, 5, 1, "b"]]
 
 
 def test_prompts(spark):
