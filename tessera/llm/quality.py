@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import fit_logistic, held_out, materialise, train_rows
+from .shared import discard, fit_logistic, held_out, materialise, train_rows
 
 BLOCK = 2048
 LEVEL = 3
@@ -97,6 +97,7 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = 4000, blocks: int = 3
     rows = materialise(train_rows(docs, labels, "quality", mod, held, False, bound).withColumn("half", F.pmod(F.xxhash64("text", F.lit(7)), F.lit(2))), "quality-rows")
     parts = _blocks(rows.filter("half = 0").select("label", "text"), blocks)
     if not parts[0] or not parts[1]:
+        discard(rows)
         return Model(b"good", b"bad", [0.0] * 4)
     model = Model(_dictionary(parts[1], size), _dictionary(parts[0], size), [0.0] * 4)
 
@@ -107,6 +108,7 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = 4000, blocks: int = 3
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.list_(pa.float64()))], ["label", "x"])
 
     seen = rows.filter("half = 1").select("label", "text").mapInArrow(run, "label int, x array<double>").collect()
+    discard(rows)
     if seen:
         model.weights = [float(v) for v in fit_logistic([r.x for r in seen], [r.label for r in seen], balanced=False)]
     return model

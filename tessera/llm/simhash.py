@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import connected_components, materialise
+from .shared import connected_components, discard, materialise
 
 #: Fixed value: generator polynomial of the Golay code, x^11+x^10+x^6+x^5+x^4+x^2+1.
 GOLAY_POLY = 0b110001110101
@@ -93,8 +93,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 
-def fingerprint_links(fps: DataFrame, bucket: int = 64) -> DataFrame:
-    """(a, b) of distinct fingerprints (column fp) that differ in two bits or fewer, or that a chain of such links joins."""
+def fingerprint_links(fps: DataFrame, bucket: int = 64) -> tuple[DataFrame, DataFrame]:
+    """(a, b) of distinct fingerprints (column fp) that differ in two bits or fewer, or that a chain of such links joins; and the
+    written table that they come from."""
 
     def run(batches):
         for b in batches:
@@ -119,14 +120,16 @@ def fingerprint_links(fps: DataFrame, bucket: int = 64) -> DataFrame:
     # a neighbourhood has 65 fingerprints at most
     stars = near.groupBy("mid").agg(F.min("fp").alias("a"), F.collect_list("fp").alias("bs")).filter("size(bs) > 1")
     stars = stars.select("a", F.explode("bs").alias("b")).filter("a <> b")
-    return pairs.union(stars)
+    return pairs.union(stars), hits
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, bucket: int = 64) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row; component_id is the smallest id of the row's group."""
     fps = materialise(fingerprints(docs, id_col, text_col, words), "fingerprints")
     each = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    groups = connected_components(fingerprint_links(each, bucket), "a", "b")
+    links, hits = fingerprint_links(each, bucket)
+    groups = connected_components(links, "a", "b")
+    discard(hits)
     rooted = each.join(groups.select(F.col("node").alias("fp"), F.col("component").alias("root")), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of = rooted.select("fp", "root").join(named, "root").select("fp", "component_id")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import fit_logistic, held_out, materialise, train_rows
+from .shared import discard, fit_logistic, held_out, materialise, train_rows
 
 #: Letters that look like Latin ones, and digits and signs written for letters.
 HOMOGLYPHS = {
@@ -173,6 +173,7 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = 4000, mod: int = 5, h
     n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     n_toxic, n_clean = n.get(1, 0), n.get(0, 0)
     if not n_toxic or not n_clean:
+        discard(rows)
         return Model({fold(w): SEED_WEIGHT for w in SEED}, [1.0, 1.0, -3.0])
 
     def count(batches):
@@ -203,6 +204,7 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = 4000, mod: int = 5, h
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([v[0] for v in x], pa.float64()), pa.array([v[1] for v in x], pa.float64())], ["label", "total", "rate"])
 
     seen = rows.mapInArrow(measure, "label int, total double, rate double").collect()
+    discard(rows)
     x = np.log1p([(r.total, r.rate) for r in seen])
     model.weights = [float(v) for v in fit_logistic(x, [r.label for r in seen], balanced=False)]
     return model

@@ -92,7 +92,7 @@ def test_dense_bucket(spark):
     df = spark.createDataFrame([(f,) for f in fps], "fp long")
     got = {}
     for bucket in (4, 10_000):
-        links = simhash.fingerprint_links(df, bucket)
+        links = simhash.fingerprint_links(df, bucket)[0]
         comp = connected_components(links, "a", "b")
         got[bucket] = {(r.node, r.component) for r in comp.collect()}
     assert got[4] == got[10_000]
