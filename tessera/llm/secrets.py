@@ -35,10 +35,10 @@ HEX = re.compile(r"[0-9a-f]{32,}")  # maximal runs, so the same as [0-9a-f]+ of
 TOKEN = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{4,}\.[A-Za-z0-9_-]*")
 PEM_LINE = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{0,40}PRIVATE KEY)-----")
 PEM_BODY = re.compile(r"[A-Za-z0-9+/=\s:,-]*")
-#: A run of either base64 alphabet; written line ends before it are not part of it.
-RUN64 = re.compile(r"(?:(?<=\\n)|(?<=\\r)|(?<![A-Za-z0-9+/_\\-]))[A-Za-z0-9+/_-]{48,}={0,2}")
+#: A run of either base64 alphabet that begins as a key does; written line ends before it are not part of it.
+RUN64 = re.compile(r"[Mb](?:(?<=\\n[Mb])|(?<=\\r[Mb])|(?<![A-Za-z0-9+/_\\-][Mb]))[A-Za-z0-9+/_-]{47,}={0,2}")
 MORE64 = re.compile(r"(?:\r?\n|\\r\\n|\\n)[ \t]*([A-Za-z0-9+/_-]+)={0,2}")
-RUN16 = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{72,}(?![0-9A-Fa-f])")
+RUN16 = re.compile(r"[36](?<![0-9A-Fa-f][36])[0-9A-Fa-f]{71,}(?![0-9A-Fa-f])")
 SSH = b"openssh-key-v1\0"
 SSH64 = "b3BlbnNzaC1rZXktdjE"  # how its base64 begins
 #: Object ids (DER) of key types and what their wrapped key is.
