@@ -8,7 +8,8 @@ these meet at a boundary, the pieces before it are final: their ids go out, and
 the longest piece and the distance between such boundaries, not by the text.
 
 Where two neighbouring characters stand together in no piece, all paths meet whatever else the text holds. These boundaries (at
-spaces and line ends) need no looking back, so what lies between two of them is a stream of its own. Streams of up to
+spaces and line ends, and between most characters of scripts that put no space between words) need no looking back, so what lies
+between two of them is a stream of its own. Streams of up to
 ``2 * longest`` characters are advanced side by side, a character at a time, in numpy (``searched``); a longer one goes through
 ``search``, which holds a window and commits as above. Equal streams of one batch of texts are searched once; nothing is
 remembered from batch to batch but which pairs of pieces are stable. Batches are bounded in bytes, and a text over that bound is
@@ -28,6 +29,7 @@ import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -97,9 +99,9 @@ class Vocabulary:
         self.unknown = sp.unk_id()
         self.raw = [bytes([int(p[3:5], 16)]) if sp.is_byte(i) else b"" if special[i] else p.replace(MARK, " ").encode() for i, p in enumerate(names)]
         self.longest = max(map(len, self.ids))
-        together = {(a, b) for p in self.ids for a, b in zip(p, p[1:])}
-        assert not any(b == MARK and a != MARK for a, b in together), "a piece goes on past a space"
-        alone = "\n" if not any("\n" in x for x in together) else ""
+        self.together = {a + b for p in self.ids for a, b in zip(p, p[1:])}
+        assert not any(x[1] == MARK and x[0] != MARK for x in self.together), "a piece goes on past a space"
+        alone = "\n" if not any("\n" in x for x in self.together) else ""
         self.cut = re.compile(f"{MARK}+[^{MARK}{alone}]*|[^{MARK}{alone}]+" + f"|{alone}" * bool(alone))
         self.solid: dict[int, bool] = {}
         self.widest = 0  # characters that search() has held at most
@@ -315,29 +317,31 @@ class Vocabulary:
         return out[::-1]
 
     def _blocks(self, text: str) -> Iterator[str]:
-        """A text in blocks of BLOCK characters and the rest up to a boundary: one before a space that follows another character."""
+        """A text, spaces as marks, in blocks of BLOCK characters and the rest up to a boundary."""
         at = 0
         while at < len(text):
             end = at + BLOCK
-            while end < len(text):
-                end = text.find(" ", end)
-                if end < 0:
-                    break
-                if text[end - 1] not in (" ", MARK):
-                    break
+            while end < len(text) and text[end - 1 : end + 1].replace(" ", MARK) in self.together:
                 end += 1
-            end = len(text) if end < 0 or end > len(text) else end
-            yield text[at:end]
+            yield text[at:end].replace(" ", MARK)
             at = end
 
+    def _apart(self, stream: str) -> list[str]:
+        """A stream cut wherever two neighbours stand together in no piece."""
+        cuts = [0, *(i + 1 for i, x in enumerate(map(add, stream, stream[1:])) if x not in self.together), len(stream)]
+        return [stream[a:b] for a, b in zip(cuts, cuts[1:])]
+
     def encode_batch(self, texts: list[str | None] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the texts, one after the other, and how many each has."""
         rows, blocks = [], []
         for i, t in enumerate(texts.to_pylist() if isinstance(texts, pa.Array) else texts):
-            for k, b in enumerate(self._blocks(t) if len(t or "") > BLOCK else [t] if t else ()):
+            for k, b in enumerate(self._blocks(t or "")):
                 rows.append(i)
-                blocks.append(MARK + b.replace(" ", MARK) if k == 0 else b.replace(" ", MARK))
+                blocks.append(MARK + b if k == 0 else b)
         streams = [self.cut.findall(b) for b in blocks]
+        for i, s in enumerate(streams):
+            if max(map(len, s)) > 2 * self.longest:
+                streams[i] = [y for x in s for y in (self._apart(x) if len(x) > 2 * self.longest else (x,))]
         coded = pa.array(list(chain.from_iterable(streams)), pa.string()).dictionary_encode()
         distinct, each = coded.dictionary.to_pylist(), coded.indices.to_numpy()
         size = np.fromiter(map(len, distinct), np.int64, len(distinct))

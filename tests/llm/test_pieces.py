@@ -61,6 +61,15 @@ def test_window_stays_bounded(library, v):
     assert 0 < v.widest <= 4 * v.longest
 
 
+def test_scripts_without_spaces_are_cut_between_characters(library, v, monkeypatch):
+    rng = random.Random(4)
+    text = "".join(rng.choice("日本語中文字漢かなカナあいうабвгд،ال한글😀") for _ in range(60_000))
+    v.widest = 0
+    assert v.encode(text) == library.encode(text) and v.widest < 200
+    monkeypatch.setattr(P, "BLOCK", 100)
+    assert v.encode(text[:5000]) == library.encode(text[:5000])
+
+
 def test_ten_million_characters(library, v, monkeypatch):
     rng = random.Random(3)
     words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzé") for _ in range(rng.randrange(1, 14))) for _ in range(100_000)]
@@ -77,7 +86,7 @@ def test_ten_million_characters(library, v, monkeypatch):
 def test_blocks_of_a_long_text_join(library, v, monkeypatch):
     monkeypatch.setattr(P, "BLOCK", 50)
     for t in ("one two  three   four " * 30, " " * 300 + "x", "\u2581 a" * 60, "y" * 400, "日本 " * 50):
-        assert v.encode(t) == library.encode(t) and "".join(v._blocks(t)) == t
+        assert v.encode(t) == library.encode(t) and "".join(v._blocks(t)) == t.replace(" ", P.MARK)
 
 
 def test_distinct_words_and_a_full_table_of_pairs(library, monkeypatch):
