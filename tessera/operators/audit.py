@@ -15,6 +15,10 @@ from tessera.operators import quality as Q
 CHECKS = ("groundedness", "format", "speaker", "fit_score", "duplication")
 MOST_WORDS, MOST_CHARS = 50, 2000
 GROUNDED, PAIR_FIT = 0.9, 0.5
+#: What failing checks say.
+UNGROUNDED, UNFIT = "Answer not found in source spans", "Fit score does not agree with the gate"
+NO_MARK, LONG_QUESTION, NO_ANSWER, LONG_ANSWER = "Question does not end with '?'", "Question too long: ", "Empty answer", "Answer too long: "
+BAD_SPEAKER, SAME, NEAR = "Invalid speaker: ", "Exact duplicate found at index ", "Near-duplicate found at index "
 
 
 def said(ok: Column, reason: Column | str) -> Column:
@@ -34,10 +38,10 @@ def format_reason(question: Column, answer: Column) -> Column:
     q, a = T.given(question), T.given(answer)
     words = T.count_words(q)
     return (
-        F.when(~F.endswith(q, F.lit("?")), "Question does not end with '?'")
-        .when(words > MOST_WORDS, F.concat(F.lit("Question too long: "), words.cast("string"), F.lit(" words")))
-        .when(a == "", "Empty answer")
-        .when(F.length(a) > MOST_CHARS, F.concat(F.lit("Answer too long: "), F.length(a).cast("string"), F.lit(" characters")))
+        F.when(~F.endswith(q, F.lit("?")), NO_MARK)
+        .when(words > MOST_WORDS, F.concat(F.lit(LONG_QUESTION), words.cast("string"), F.lit(" words")))
+        .when(a == "", NO_ANSWER)
+        .when(F.length(a) > MOST_CHARS, F.concat(F.lit(LONG_ANSWER), F.length(a).cast("string"), F.lit(" characters")))
     )
 
 
@@ -70,11 +74,11 @@ def audit_rows(rows: DataFrame, sampled: DataFrame, speakers: list[str], index:
     gates = F.col("gates.pairfit_passed")
     score = F.col("fit_score_ce").cast("double")
     reasons = {
-        "groundedness": said(grounded(F.col("answer"), F.col("source_spans_text")), "Answer not found in source spans"),
+        "groundedness": said(grounded(F.col("answer"), F.col("source_spans_text")), UNGROUNDED),
         "format": format_reason(F.col("question"), F.col("answer")),
-        "speaker": said(F.lower(T.given(F.col("answer_speaker"))).isin([s.lower() for s in speakers]), F.concat(F.lit("Invalid speaker: "), F.lower(T.given(F.col("answer_speaker"))))),
-        "fit_score": said(fit_consistent(gates, score), "Fit score does not agree with the gate"),
-        "duplication": F.when(F.col("duplicate_of").isNotNull(), F.concat(F.when(F.col("exact"), "Exact duplicate found at index ").otherwise("Near-duplicate found at index "), F.col("duplicate_of").cast("string"))),
+        "speaker": said(F.lower(T.given(F.col("answer_speaker"))).isin([s.lower() for s in speakers]), F.concat(F.lit(BAD_SPEAKER), F.lower(T.given(F.col("answer_speaker"))))),
+        "fit_score": said(fit_consistent(gates, score), UNFIT),
+        "duplication": F.when(F.col("duplicate_of").isNotNull(), F.concat(F.when(F.col("exact"), SAME).otherwise(NEAR), F.col("duplicate_of").cast("string"))),
     }
     out = out.withColumns(reasons)
     listed = F.filter(F.array(*[F.concat(F.lit(f"{c}: "), F.col(c)) for c in CHECKS]), lambda x: x.isNotNull())
@@ -96,8 +100,8 @@ def save_audit(audited: DataFrame, path: str, index: str = "record_index") -> No
 
 def union_by_offset(train: DataFrame, val: DataFrame, index: str = "record_index") -> DataFrame:
     """Validation rows after the training rows: their index goes on where the training file's ends; ``is_train`` tells which."""
-    n = train.agg(F.coalesce(F.max(index) + 1, F.lit(0)).alias("_n"))
-    after = val.crossJoin(F.broadcast(n)).withColumn(index, F.col(index) + F.col("_n")).drop("_n")  # one row
+    n = train.agg(F.coalesce(F.max(index) + 1, F.lit(0))).first()[0]
+    after = val.withColumn(index, F.col(index) + F.lit(n))
     return train.withColumn("is_train", F.lit(True)).unionByName(after.withColumn("is_train", F.lit(False)))
 
 
@@ -135,8 +139,9 @@ def leakage_report(train: DataFrame, val: DataFrame, key: str = "pair_id", most:
     side = lambda d, s: d.filter(T.given(F.col(key)) != "").select(F.col(key).alias("k"), F.lit(s).alias("s"))
     by = side(train, 1).union(side(val, 2)).groupBy("k").agg(F.bit_or("s").alias("s"))
     n = by.agg(F.count_if(F.col("s") != 2).alias("train_count"), F.count_if(F.col("s") != 1).alias("val_count"), F.count_if(F.col("s") == 3).alias("overlap_count"))
-    first = by.filter("s = 3").orderBy("k").limit(most).agg(F.array_sort(F.collect_list("k")).alias("overlap"))
-    return n.crossJoin(F.broadcast(first))  # a row each
+    first = [r.k for r in by.filter("s = 3").select("k").orderBy("k").limit(most).collect()]
+    kind = train.schema[key].dataType.simpleString()
+    return n.withColumn("overlap", F.array(*map(F.lit, first)).cast(f"array<{kind}>"))
 
 
 def go(train: DataFrame, val: DataFrame, allowed: list[str], least: float = 0.95) -> DataFrame:
@@ -148,7 +153,7 @@ def go(train: DataFrame, val: DataFrame, allowed: list[str], least: float = 0.95
         ((n(True, gate) >= least) & (n(False, gate) >= least)).alias("speaker_rate"), ((n(True, score) >= least) & (n(False, score) >= least)).alias("score_rate"),
         (F.count_if(~T.given(F.col("answer_speaker")).isin(allowed)) == 0).alias("speakers"),
     )
-    row = row.crossJoin(F.broadcast(leakage_report(train, val).select((F.col("overlap_count") == 0).alias("no_leakage"))))  # a row each
+    row = row.withColumn("no_leakage", F.lit(leakage_report(train, val).first().overlap_count == 0))
     row = row.withColumn("go", F.col("speaker_rate") & F.col("score_rate") & F.col("speakers") & F.col("no_leakage"))
     return row.selectExpr("stack(5, 'speaker_rate', speaker_rate, 'score_rate', score_rate, 'speakers', speakers, 'no_leakage', no_leakage, 'go', go) AS (check, passed)")
 

@@ -98,6 +98,7 @@ def ratio(a: Column, b: Column) -> Column:
 
 def near_duplicates(df: DataFrame, key_col: str, text_col: str, sample: DataFrame, least: float = 0.95, block: int = 2000) -> DataFrame:
     """(key_a, key_b, ratio): for each row of the sample (same columns), every other row whose text's ratio reaches ``least``.
+    Repeated rows count once; null and empty texts are alike to none.
 
     The sample is dealt into groups and the rows into blocks of about ``block``; all pairs of group and block are the groups of one
     cogrouped plan. A row meets a group by two bounds that lose nothing (lengths, then counts of characters, both at least the
@@ -111,13 +112,13 @@ def near_duplicates(df: DataFrame, key_col: str, text_col: str, sample: DataFram
         return np.bincount(np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) % 128, minlength=128)
 
     key_type = df.schema[key_col].dataType.simpleString()
-    rows = df.select(F.col(key_col).alias("key"), F.col(text_col).alias("t")).filter("t is not null and t <> ''")
-    picked = sample.select(F.col(key_col).alias("k"), F.col(text_col).alias("s")).filter("s is not null and s <> ''")
+    rows = df.select(F.col(key_col).alias("key"), F.col(text_col).alias("t")).filter("t is not null and t <> ''").distinct()
+    picked = sample.select(F.col(key_col).alias("k"), F.col(text_col).alias("s")).filter("s is not null and s <> ''").distinct()
     n_groups, n_blocks = max(1, -(-picked.count() // block)), max(1, -(-rows.count() // block))
-    deal = lambda c, n, salt: F.pmod(F.xxhash64(c, F.monotonically_increasing_id(), F.lit(salt)), F.lit(n)).cast("int")
+    deal = lambda c, t, n: F.pmod(F.xxhash64(c, t), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    a = picked.withColumn("g", deal("k", n_groups, 1)).withColumn("b", every(n_blocks))
-    b = rows.withColumn("bb", deal("key", n_blocks, 2)).withColumn("gg", every(n_groups))
+    a = picked.withColumn("g", deal("k", "s", n_groups)).withColumn("b", every(n_blocks))
+    b = rows.withColumn("bb", deal("key", "t", n_blocks)).withColumn("gg", every(n_groups))
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found = []
@@ -141,8 +142,8 @@ def near_duplicates(df: DataFrame, key_col: str, text_col: str, sample: DataFram
 def role_statistics(turns: DataFrame, id_col: str, role_col: str = "role", text_col: str = "text") -> DataFrame:
     """(role, messages, share, avg_chars) over all messages, whatever the roles are."""
     by = turns.groupBy(F.col(role_col).alias("role")).agg(F.count("*").alias("messages"), F.sum(F.length(T.given(F.col(text_col)))).alias("chars"))
-    total = by.agg(F.sum("messages").alias("total"))
-    return by.join(F.broadcast(total)).select("role", "messages", (F.col("messages") / F.col("total")).alias("share"), (F.col("chars") / F.col("messages")).alias("avg_chars"))
+    total = F.sum("messages").over(Window.partitionBy(F.lit(0)))  # a row a role
+    return by.select("role", "messages", (F.col("messages") / total).alias("share"), (F.col("chars") / F.col("messages")).alias("avg_chars"))
 
 
 def set_statistics(turns: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:

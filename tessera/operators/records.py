@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions import text as T
 from tessera.operators import segments as S
 from tessera.operators.formats import field, filled, has
+from tessera.operators.gates import provenance_holds
 
 #: Verbs and motifs of connector sentences, and labels of lines that belong to the analysis.
 VERBS = ("signals", "expresses", "reveals", "echoes", "maps to")
@@ -52,12 +53,12 @@ def training_record(question: Column, answer: Column, system: str | None = None)
 
 def build_pairs(pairs: DataFrame, ratio: float = 0.2, seed: int = 7, most: int = 2, cap: int = 200) -> DataFrame:
     """Training and sidecar structs of accepted pairs (pair_id, episode_id, window_id, sample_index, question, answer, speaker,
-    spans array<string>, sources, fit_score, flags); pairs whose answer is not its spans get a drop_reason and no records."""
+    spans array<string>, sources, fit_score, flags); pairs whose answer is not its spans and connectors get a drop_reason and no records."""
     mode = variant(F.col("pair_id"), ratio, seed)
     rows = pairs.withColumn("mode", mode).withColumn("links", F.when(F.col("mode") == "B", connectors(F.col("speaker"), F.col("pair_id"), most, cap)).otherwise(F.array().cast("array<string>")))
     rows = rows.withColumn("mode", F.when(F.size("links") > 0, F.col("mode")).otherwise("A"))
     whole = F.trim(F.concat_ws(" ", F.col("answer"), F.array_join("links", " ")))
-    holds = T.provenance_norm(F.array_join("spans", " ")) == T.provenance_norm(F.col("answer"))
+    holds = provenance_holds(F.col("spans"), whole, F.array_join("links", " "))
     rows = rows.withColumn("drop_reason", F.when(~F.coalesce(holds, F.lit(False)), "provenance"))
     gates = F.struct(F.col("questionify_used"), F.col("answer_trimmed"), F.lit(True).alias("speaker_check_passed"), F.coalesce(F.col("fit_score") >= 0.5, F.lit(False)).alias("pairfit_passed"))
     made = F.struct(F.col("mode").alias("mode"), F.size("links").alias("connector_sentences"), F.length(F.array_join("links", " ")).alias("paraphrase_chars"), F.col("sources").alias("quoted_spans"), F.col("spans").alias("answer_spans_text"))

@@ -20,10 +20,11 @@ from tessera.operators import prompts as P
 from tessera.operators.formats import field, has
 
 REPHRASE = "Turn the context into one question of at most 25 words that it could answer. Use only its words.\n\nCONTEXT:\n{context}"
-TRIM = "QUESTION:\n{question}\n\nANSWER (verbatim):\n{answer}\n\nShorten the answer to the part that still answers the question, as JSON with answer_trimmed."
+TRIM = "Question: {question}\nAnswer: {answer}\n\nCut the answer to the stretch of it that still answers the question. Reply with JSON: answer_trimmed."
 SPEAKER = "Allowed speakers: {allowed}\nSpeaker: {speaker}\nAnswer:\n{answer}\n\nSay as JSON whether the answer is by an allowed speaker alone (allowed, reason)."
 AUDIT = "Record:\n{record}\n\nSay as JSON whether it passes (pass), what its issues are (issues) and one comment (comment)."
 MOST_ISSUES = 6
+NO_SCORE, NO_VERDICT, REFUSED, BAD_IDEA = "no score of fit", "the judge's reply is no JSON", "the judge refuses the pair", "the suggested question is not valid"
 CLOSE = 0.45  # a supported pair from this score on may be retried with the suggested question
 
 #: Words in an error's text, by class, in order of precedence.
@@ -40,7 +41,7 @@ PASSING = ("rate_limit", "timeout", "network")  # worth another try
 
 
 def payload(reply: Column) -> Column:
-    """The JSON object in a reply, with clock times as seconds; null if there is none."""
+    """The JSON object in a reply; null if there is none."""
     x = T.json_payload(reply)
     return F.when(F.json_object_keys(x).isNotNull(), x)
 
@@ -121,13 +122,13 @@ def decide(question: Column, answer: Column, reference: Column, judged: Column,
     idea = T.ends_as_question(judged["suggested_question"])
     out = lambda status, q, why: F.struct(F.lit(status).alias("status"), q.alias("question"), why.alias("reason"))
     none = F.lit(None).cast("string")
-    said = F.coalesce(judged["reason"], F.lit("PairFit judge rejected pair."))
+    said = F.coalesce(judged["reason"], F.lit(REFUSED))
     return (
-        F.when(score.isNull(), out("rejected", none, F.lit("Cross-encoder unavailable - cannot validate semantic fit.")))
-        .when(judged.isNull(), out("error", none, F.lit("PairFit judge returned invalid JSON.")))
+        F.when(score.isNull(), out("rejected", none, F.lit(NO_SCORE)))
+        .when(judged.isNull(), out("error", none, F.lit(NO_VERDICT)))
         .when(good & (score >= least), out("accepted", T.strip(question), none))
         .when(judged["suggested_question"].isNull(), out("rejected", none, said))
-        .when(~T.valid_question(idea, reference, answer), out("rejected", none, F.lit("Suggested question failed validation.")))
+        .when(~T.valid_question(idea, reference, answer), out("rejected", none, F.lit(BAD_IDEA)))
         .when(~good | ((score >= CLOSE) & (score < least)), out("retry", idea, none))
         .otherwise(out("rejected", none, said))
     )
@@ -139,10 +140,10 @@ def second(question: Column, judged: Column, score: Column, least: float = 0.5)
     out = lambda status, q, why: F.struct(F.lit(status).alias("status"), q.alias("question"), why.alias("reason"))
     none = F.lit(None).cast("string")
     return (
-        F.when(score.isNull(), out("rejected", none, F.lit("Cross-encoder unavailable - cannot validate semantic fit.")))
-        .when(judged.isNull(), out("error", none, F.lit("PairFit judge returned invalid JSON.")))
+        F.when(score.isNull(), out("rejected", none, F.lit(NO_SCORE)))
+        .when(judged.isNull(), out("error", none, F.lit(NO_VERDICT)))
         .when(good, out("accepted", question, none))
-        .otherwise(out("rejected", none, F.coalesce(judged["reason"], F.lit("PairFit judge rejected pair."))))
+        .otherwise(out("rejected", none, F.coalesce(judged["reason"], F.lit(REFUSED))))
     )
 
 

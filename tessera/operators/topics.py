@@ -138,9 +138,8 @@ def add_nodes(nodes: DataFrame, fresh: DataFrame, order: list[str]) -> DataFrame
 
     A level is numbered in one window: it is as large as the replies of one round of a model, which the driver sends out.
     """
-    top = nodes.agg(F.coalesce(F.max("id"), F.lit(-1)).alias("_top"))
-    at = F.row_number().over(Window.orderBy(*order))
-    return fresh.crossJoin(F.broadcast(top)).withColumn("id", (F.col("_top") + at).cast("int")).drop("_top")  # one row
+    top = nodes.agg(F.coalesce(F.max("id"), F.lit(-1))).first()[0]
+    return fresh.withColumn("id", (F.row_number().over(Window.orderBy(*order)) + F.lit(top)).cast("int"))
 
 
 def grow(nodes: DataFrame, edges: DataFrame, proposals: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -80,12 +80,6 @@ def q_exact_dup(spark, sf_dir):
     return Q.exact_duplicates(table(spark, sf_dir, "documents"), "doc_id", T.fingerprint(F.lit(""), F.col("text")))
 
 
-@query()
-def q_near_dup_answers(spark, sf_dir):
-    rows = pairs(spark, sf_dir).select("pair_id", "answer")
-    return Q.near_duplicates(rows, "pair_id", "answer", Q.sample(rows, "pair_id"))
-
-
 @query(f"""WITH {PAIRS_SQL}, r AS (SELECT question LIKE '%?' AS q, length(answer) <= 2000 AS a, score >= 0.5 AS s FROM pairs)
     SELECT * FROM (SELECT 'question' AS "check", count_if(q) AS passed, count(*) AS total FROM r UNION ALL SELECT 'answer', count_if(a), count(*) FROM r UNION ALL SELECT 'score', count_if(s), count(*) FROM r)""")
 def q_qc_rollup(spark, sf_dir):
@@ -181,12 +175,6 @@ def q_fmt_harmony(spark, sf_dir):
     return _samples(spark, sf_dir).select("conv_id", X.harmony(F.col("sample")).alias("x")).select("conv_id", "x.text")
 
 
-@query()
-def q_fmt_grpo(spark, sf_dir):
-    x = X.grpo(F.col("sample"))["messages"]
-    return _samples(spark, sf_dir).select("conv_id", F.array_join(F.transform(x, lambda m: F.concat(m["role"], F.lit("="), m["content"])), "|").alias("talk"))
-
-
 @query(f"""WITH {_SAMPLES}, q AS (SELECT conv_id, CASE k WHEN 0 THEN coalesce({_OF('user')}[1], '') WHEN 1 THEN a ELSE a || chr(10) || chr(10) || 'Input: ctx' END AS q, CASE k WHEN 0 THEN coalesce({_OF('assistant')}[1], '') WHEN 1 THEN '<think>' || chr(10) || 'why' || chr(10) || '</think>' || chr(10) || chr(10) || b ELSE b END AS r FROM m)
     SELECT conv_id, array_to_string(list_filter([CASE WHEN q <> '' THEN 'user=' || q END, CASE WHEN r <> '' THEN 'assistant=' || r END], lambda x: x IS NOT NULL), '|') AS talk FROM q""")
 def q_fmt_unsloth_grpo(spark, sf_dir):
@@ -202,12 +190,6 @@ def _tool_samples(spark, sf_dir):
     return d.select("doc_id", F.to_json(s).alias("sample"))
 
 
-@query()
-def q_fmt_single_tool(spark, sf_dir):
-    x = X.single_tool_call(F.col("sample"))["messages"]
-    return _tool_samples(spark, sf_dir).select("doc_id", F.size(x).alias("n"), F.get(x, 2)["content"].alias("call"), F.get(x, 3)["content"].alias("result"))
-
-
 @query("SELECT doc_id, '<think>I need to use a tool to help answer this question.</think><tool_call>' || chr(10) || '{\"name\": \"calculator\", \"arguments\": {\"expression\": \"' || doc_id || '\"}}' || chr(10) || '</tool_call>' AS call, '<tool_response>' || chr(10) || doc_id || chr(10) || '</tool_response>' AS result FROM documents")
 def q_fmt_tools(spark, sf_dir):
     x = X.tool_calling(F.col("sample"))["messages"]
@@ -320,3 +302,44 @@ def q_list_in_text(spark, sf_dir):
 @query("SELECT conv_id, len(list_filter(list(role), lambda r: r = 'user')) AS n FROM conversations GROUP BY conv_id HAVING count_if(role = 'user') > 0 AND conv_id % 3 = 0")
 def q_filter_by_role(spark, sf_dir):
     return _samples(spark, sf_dir).select("conv_id", F.size(R.only_role(X.messages(F.col("sample")), "user")).cast("long").alias("n")).filter("n > 0")
+
+
+@query(
+    """WITH r AS (SELECT doc_id::VARCHAR AS k, doc_id AS d, md5(doc_id::VARCHAR) AS t FROM documents UNION ALL SELECT 'c' || doc_id, doc_id, substr(md5(doc_id::VARCHAR), 1, 31) || 'z' FROM documents WHERE doc_id % 5 = 0),
+    s AS (SELECT k, d, t FROM (SELECT *, row_number() OVER (ORDER BY substr(sha256('7:' || k), 1, 16)) AS i, count(*) OVER () AS n FROM r) WHERE i <= least(n, greatest(50, round_even(n * 0.1, 0))))
+    SELECT s.k AS key_a, r.k AS key_b, 0.96875::DOUBLE AS ratio FROM s JOIN r ON s.d = r.d AND s.k <> r.k"""
+)
+def q_near_dup_answers(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("k"), F.md5(F.col("doc_id").cast("string")).alias("answer"), "doc_id")
+    rows = d.select("k", "answer").union(d.filter("doc_id % 5 = 0").select(F.concat(F.lit("c"), "k"), F.concat(F.substring("answer", 1, 31), F.lit("z"))))
+    return Q.near_duplicates(rows, "k", "answer", Q.sample(rows, "k", 0.1), block=400)
+
+
+_MARK, _NUMBER = "(?is)^(.*?)(?:answer|solution):\\s*(.*)$", "(?s)^(.*?)([+-]?[0-9.,]+)\\s*$"
+_PART = lambda i: f"CASE WHEN regexp_matches(c, '{_MARK}') THEN trim(regexp_extract(c, '{_MARK}', {i}), ' ' || chr(10) || chr(13) || chr(9)) WHEN regexp_matches(c, '{_NUMBER}') THEN trim(regexp_extract(c, '{_NUMBER}', {i}), ' ' || chr(10) || chr(13) || chr(9)) WHEN contains(c, '.') THEN trim({('substr(c, 1, length(c) - length(string_split(c, chr(46))[-1]) - 1)', 'string_split(c, chr(46))[-1]')[i - 1]}, ' ' || chr(10) || chr(13) || chr(9)) ELSE trim(c, ' ' || chr(10) || chr(13) || chr(9)) END"
+_TAGGED = lambda a, b: f"'{X.THINK}' || {a} || '{X.UNTHINK}{X.SOLVE}' || {b} || '{X.UNSOLVE}'"
+
+
+@query(
+    f"""WITH c AS (SELECT conv_id, turn, role, text AS c, text FROM conversations), w AS (SELECT conv_id, turn, role, text, {_PART(1)} AS a, {_PART(2)} AS b FROM c),
+    t AS (SELECT conv_id, count_if(role = 'system') AS led, string_agg(role || '=' || CASE WHEN role = 'assistant' AND a <> '' AND b <> '' THEN {_TAGGED('a', 'b')} ELSE text END, '|' ORDER BY turn) AS m, arg_min(text, turn) AS q, arg_max(text, turn) AS r FROM w GROUP BY conv_id)
+    SELECT conv_id, CASE WHEN conv_id % 3 = 0 AND led > 0 THEN '' ELSE 'system={X.GRPO_PROMPT}|' END || CASE conv_id % 3 WHEN 0 THEN m WHEN 1 THEN 'user=' || q || '|assistant=' || {_TAGGED("'why'", 'r')} ELSE 'user=ctx|assistant=' || {_TAGGED(f"'{X.STEP_BY_STEP}'", 'r')} END AS talk FROM t"""
+)
+def q_fmt_grpo(spark, sf_dir):
+    x = X.grpo(F.col("sample"))["messages"]
+    return _samples(spark, sf_dir).select("conv_id", F.array_join(F.transform(x, lambda m: F.concat(m["role"], F.lit("="), m["content"])), "|").alias("talk"))
+
+
+@query("""SELECT doc_id, 5 AS n, 'I''ll calculate ' || doc_id || ' for you.' || chr(10) || chr(10) || '<tool_call>' || chr(10) || '{"name": "calculator", "arguments": {"expression": "' || doc_id || '"}}' || chr(10) || '</tool_call>' AS call, doc_id::VARCHAR AS result FROM documents""")
+def q_fmt_single_tool(spark, sf_dir):
+    x = X.single_tool_call(F.col("sample"))["messages"]
+    return _tool_samples(spark, sf_dir).select("doc_id", F.size(x).alias("n"), F.get(x, 2)["content"].alias("call"), F.get(x, 3)["content"].alias("result"))
+
+
+@query("SELECT doc_id, doc_id % 4 <> 0 AS one, doc_id % 4 <> 0 AS many, doc_id % 5 <> 0 AS xlam FROM documents")
+def q_fmt_bad_samples(spark, sf_dir):
+    """Samples of which every fourth is no tool sample and every fifth has tools that are no list; none fails the query."""
+    d = F.col("doc_id")
+    rows = _tool_samples(spark, sf_dir).withColumn("sample", F.when(d % 5 == 0, F.regexp_replace("sample", '"available_tools":\\[', '"available_tools":"oops","x":[')).otherwise(F.col("sample")))
+    s = F.when(d % 4 == 0, F.regexp_replace("sample", '"question"', '"other"')).otherwise(F.col("sample"))
+    return rows.select("doc_id", X.single_tool_call(s).isNotNull().alias("one"), X.tool_calling(s).isNotNull().alias("many"), X.xlam_v2(F.col("sample")).isNotNull().alias("xlam"))

@@ -209,7 +209,7 @@ def _valid(q: str, context: str, answer: str) -> str:
     f"""WITH {PAIRS_SQL}, j AS (SELECT pair_id, trim(question) AS question, answer, context, score, seq % 7 = 0 AS bad, seq % 3 <> 0 AND episode_id % 4 <> 0 AS good, CASE WHEN episode_id % 2 = 0 THEN 'What is ' || split_part(context, ' ', 1) || '?' END AS idea FROM pairs),
     d AS (SELECT pair_id, CASE WHEN bad THEN 'error' WHEN good AND score >= 0.5 THEN 'accepted' WHEN idea IS NULL THEN 'rejected' WHEN NOT {_valid('idea', 'context', 'answer')} THEN 'invalid' WHEN NOT good OR score BETWEEN 0.45 AND 0.49 THEN 'retry' ELSE 'rejected' END AS s, question, idea FROM j)
     SELECT pair_id, CASE s WHEN 'invalid' THEN 'rejected' ELSE s END AS status, CASE s WHEN 'accepted' THEN question WHEN 'retry' THEN idea END AS question,
-      CASE s WHEN 'error' THEN 'PairFit judge returned invalid JSON.' WHEN 'rejected' THEN 'no' WHEN 'invalid' THEN 'Suggested question failed validation.' END AS reason FROM d"""
+      CASE s WHEN 'error' THEN 'the judge''s reply is no JSON' WHEN 'rejected' THEN 'no' WHEN 'invalid' THEN 'the suggested question is not valid' END AS reason FROM d"""
 )
 def q_pairfit_decision(spark, sf_dir):
     good = (F.col("seq") % 3 != 0) & (F.col("episode_id") % 4 != 0)
@@ -220,6 +220,26 @@ def q_pairfit_decision(spark, sf_dir):
     return pairs(spark, sf_dir).select("pair_id", out.alias("d")).select("pair_id", "d.status", "d.question", "d.reason")
 
 
+_STARTERS = ", ".join(f"'{w}'" for w in T.QUESTION_STARTERS)
+_IS_QUESTION = lambda x: f"(trim({x}) <> '' AND (trim({x}) LIKE '%?' OR replace(regexp_extract(lower(trim({x})), '[a-z0-9' || chr(39) || ']+'), chr(39), '') IN ({_STARTERS})))"
+_MARKED = lambda x: f"CASE WHEN {x} LIKE '%?' THEN {x} ELSE {x} || '?' END"
+
+
+@query(
+    f"""WITH {PAIRS_SQL}, r AS (SELECT pair_id, context, answer, trim(question) AS m, {_MARKED('trim(question)')} AS mq, {_MARKED('context')} AS cq, seq % 3 = 0 AS own, 'What is ' || array_to_string(string_split(context, ' ')[1:3], ' ') || '?' AS re FROM pairs),
+    v AS (SELECT *, {_valid('mq', 'context', 'answer')} AS mv, {_valid('cq', 'context', 'answer')} AS cv, {_valid('re', 'context', 'answer')} AS rv,
+      trim(context) <> '' AND NOT contains(context, '?') AND length(trim(context)) BETWEEN 30 AND 220 AND NOT regexp_matches(lower(regexp_replace(trim(context), '^[ "''(\\[{{-]+', '')), '^({'|'.join(T.BLOCKED_PREFIXES)})( |$)') AS may FROM r),
+    c AS (SELECT pair_id, mq, cq, re, CASE WHEN own AND m <> '' AND mv THEN 1 WHEN {_IS_QUESTION('context')} AND cv THEN 2 WHEN {_IS_QUESTION('m')} AND mv THEN 3 WHEN NOT own AND may AND rv THEN 4 WHEN m <> '' AND mv THEN 5 END AS k FROM v)
+    SELECT pair_id, CASE k WHEN 2 THEN cq WHEN 4 THEN re ELSE CASE WHEN k IS NOT NULL THEN mq END END AS question, CASE k WHEN 1 THEN 'local' WHEN 2 THEN 'context' ELSE CASE WHEN k IS NOT NULL THEN 'model' END END AS origin, CASE WHEN k IS NOT NULL THEN k = 4 END AS used FROM c"""
+)
+def q_refined_question(spark, sf_dir):
+    rows = pairs(spark, sf_dir)
+    local = F.when(F.col("seq") % 3 == 0, F.col("question"))
+    again = F.concat(F.lit("What is "), F.substring_index("context", " ", 3), F.lit("?"))
+    best = S.refine_question(local, F.col("context"), F.col("context"), F.col("question"), again, F.col("answer"))
+    return rows.select("pair_id", best.alias("x")).select("pair_id", "x.question", "x.origin", "x.used")
+
+
 @query(f"WITH {PAIRS_SQL} SELECT pair_id, 'error' AS status, 1 AS attempts FROM pairs UNION ALL SELECT pair_id || '+', 'skipped', 0 FROM pairs")
 def q_pairfit_stage(spark, sf_dir):
     rows = pairs(spark, sf_dir).select("pair_id", "question", "answer", F.col("answer").alias("source"), "context")

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from tessera.operators import segments as S
 
+#: SQL of a time as minutes and seconds.
+CLOCK = "CASE WHEN isnan({x}) OR {x} < 0 THEN '?:??' ELSE lpad((floor({x})::BIGINT // 60)::VARCHAR, greatest(2, length((floor({x})::BIGINT // 60)::VARCHAR))::INTEGER, '0') || ':' || lpad((floor({x})::BIGINT % 60)::VARCHAR, 2, '0') END"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tessera.functions import text as T
 from tessera.functions import udf as U
 from tessera.operators import gates as G
-from tessera.plans.tables import PAIRS_SQL, SEGMENTS_SQL, pairs, registrar, segments, table
+from tessera.plans.tables import CLOCK, PAIRS_SQL, SEGMENTS_SQL, pairs, registrar, segments, table
 
 QUERIES, ORACLE_SQL, query = registrar()
 _EXTRAS = ", ".join(f"'{w}'" for w in T.ALLOWED_EXTRAS)
@@ -75,10 +75,8 @@ def q_questionify_gate(spark, sf_dir):
     return pairs(spark, sf_dir).select("pair_id", T.may_rephrase(F.col("context")).alias("may"))
 
 
-_CLOCK = "CASE WHEN isnan({x}) OR {x} < 0 THEN '?:??' ELSE lpad((floor({x})::BIGINT // 60)::VARCHAR, greatest(2, length((floor({x})::BIGINT // 60)::VARCHAR))::INTEGER, '0') || ':' || lpad((floor({x})::BIGINT % 60)::VARCHAR, 2, '0') END"
 
-
-@query(f"""WITH {SEGMENTS_SQL}, r AS (SELECT *, round("start", 3) AS a, round("end", 3) AS b FROM seg) SELECT episode_id, seq, '[' || {_CLOCK.format(x='a')} || '–' || {_CLOCK.format(x='b')} || '] ' || speaker || ': ' || text AS line FROM r""")
+@query(f"""WITH {SEGMENTS_SQL}, r AS (SELECT *, round("start", 3) AS a, round("end", 3) AS b FROM seg) SELECT episode_id, seq, '[' || {CLOCK.format(x='a')} || '–' || {CLOCK.format(x='b')} || '] ' || speaker || ': ' || text AS line FROM r""")
 def q_format_segment(spark, sf_dir):
     return segments(spark, sf_dir).select("episode_id", "seq", T.format_segment(F.round("start", 3), F.round("end", 3), F.col("speaker"), F.col("text")).alias("line"))
 
@@ -107,14 +105,18 @@ def q_json_payload(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", T.json_payload(fenced).alias("payload"))
 
 
-@query()
-def q_verbatim_span(spark, sf_dir):
-    rows = pairs(spark, sf_dir)
-    part = F.when(F.col("seq") % 2 == 0, F.substring_index("answer", ".", 1)).otherwise(F.col("question"))
-    return rows.select("pair_id", U.verbatim_span(F.col("answer"), part).alias("x")).select("pair_id", "x.start", "x.end")
-
-
 @query(r"SELECT doc_id, len(x)::INTEGER AS marks FROM (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda l: trim(l)), lambda l: regexp_matches(l, '(?i)^(Reasoning:|Let''s think|\d+\.|\*\s*\d+\.)')) AS x FROM (SELECT doc_id, text || chr(10) || CASE doc_id % 3 WHEN 0 THEN '1. first' WHEN 1 THEN ' reasoning: x' ELSE 'none' END AS text FROM documents))")
 def q_reasoning_markers(spark, sf_dir):
     extra = F.when(F.col("doc_id") % 3 == 0, "1. first").when(F.col("doc_id") % 3 == 1, " reasoning: x").otherwise("none")
     return table(spark, sf_dir, "documents").select("doc_id", F.size(G.reasoning_lines(F.concat("text", F.lit("\n"), extra))).alias("marks"))
+
+
+@query(
+    f"""WITH {PAIRS_SQL}, t AS (SELECT pair_id, answer, trim(CASE WHEN seq % 2 = 0 THEN split_part(answer, '.', 1) ELSE question END, ' .,!?;:"' || chr(39) || chr(10) || chr(13) || chr(9)) AS part FROM pairs), p AS (SELECT *, CASE WHEN part <> '' THEN instr(lower(answer), lower(part)) ELSE 0 END AS pos FROM t),
+    o AS (SELECT pair_id, pos, length(part) AS n, pos > 0 AND substr(answer, pos, length(part)) = part AND NOT regexp_matches(substr(answer, pos + length(part), 1), '[\\p{{L}}\\p{{N}}]') AND NOT (pos > 1 AND regexp_matches(substr(answer, pos - 1, 1), '[\\p{{L}}\\p{{N}}]')) AS ok FROM p)
+    SELECT pair_id, CASE WHEN ok THEN pos - 1 END::INTEGER AS start, CASE WHEN ok THEN pos - 1 + n END::INTEGER AS "end" FROM o"""
+)
+def q_verbatim_span(spark, sf_dir):
+    rows = pairs(spark, sf_dir)
+    part = F.when(F.col("seq") % 2 == 0, F.substring_index("answer", ".", 1)).otherwise(F.col("question"))
+    return rows.select("pair_id", U.verbatim_span(F.col("answer"), part).alias("x")).select("pair_id", "x.start", "x.end")
