@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 PAIRS = 1 << 19  # pairs of pieces of which a worker remembers whether they are stable
-BATCH, ROWS = 1 << 22, 4000  # bytes and rows of the texts that are searched together
+BATCH, ROWS = 1 << 20, 1000  # bytes and rows of the texts that are searched together
 BLOCK = 1 << 20  # characters of a long text that are taken at once, up to the next boundary
 NEVER = float("-inf")
 
