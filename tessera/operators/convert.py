@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text as T
 from tessera.operators import segments as S
-from tessera.operators.formats import field, filled, has
+from tessera.operators.formats import field, filled
 from tessera.operators.gates import failing, message_order, reasoning_lines
 
 #: The constant channels and the system prompt of converted records.

@@ -10,7 +10,6 @@ from tessera.operators import formats as X
 from tessera.operators import gates as G
 from tessera.operators import quality as Q
 from tessera.operators import records as R
-from tessera.operators import segments as S
 from tessera.operators import topics as P
 from tessera.plans.tables import PAIRS_SQL, SEGMENTS_SQL, pairs, registrar, segments, table
 
