@@ -1,14 +1,16 @@
 """Near copies for the pipeline: groups of texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-SimHash fingerprints do not find these: such pairs lie up to a dozen bits apart. Candidates come from BANDS MinHash bands of
-ROWS hashes; a pair at a similarity of exactly 0.8 shares a band with a probability of 1 - (1 - 0.8^5)^32 = 0.999997, a closer
-one with a higher. Every candidate is verified by the exact similarity of its texts. Buckets of up to ``bucket`` texts compare
-all pairs. In larger ones each text is first compared with two of them, one of which is the text that most large buckets hold.
-Then the texts of large buckets whose buckets still hold several components go through an exact join: two sets of the similarity
-share one of their rarest shingles, early enough for their sizes, so each text looks only at few of its own shingles, by classes
-of the other's size (``prefix_keys``). Of a join key only rows outside its largest component are compared, with those of other
-components. So a large group of copies, or of texts that are somewhat alike, costs no square of its size, and no pair of a large
-bucket goes unseen whose link could still join two components.
+The method is that of simhash, with a radius as wide as the similarity asks for: at exactly 0.8 the sets' angle is 27 degrees, so
+a bit differs with a probability of 0.15, far beyond two bits of 64. Each text has 48 * TABLES SimHash votes. A join key is a table
+with the Golay indices of its two segments of 24 votes, decoded by the votes' strengths: two texts at 0.8 have an index in common
+with a probability of 0.267, both with 0.0715, thus no key of 176 with some 3 in a million; closer ones are likelier to meet. Candidates
+must then differ in at most RADIUS of 128 fingerprint bits, and two that alone share a key in at most HALF of the first 64 (at 0.8
+they exceed either less than once in 10^6), and are verified by the exact similarity of their texts. First each text is compared with STARS texts of its buckets, those that most buckets hold. Then buckets
+of up to ``bucket`` texts compare all pairs of different components. The texts of larger buckets that still hold several components
+are open: they go through an exact join, so buckets need not compare two of them. Two sets of the similarity share one of their rarest shingles, early enough for their sizes, so each
+text looks only at few of its own shingles, by classes of the other's size (``prefix_keys``). Of a join key only rows outside its
+largest component are compared, with those of other components. So a large group of copies costs no square of its size, and no
+pair of a bucket goes unseen whose link could still join two components.
 
 Words are split at ASCII white space, ASCII letters lowered, as for op1; a text of fewer than five words is one shingle. Nulls
 count as empty, and texts without words are copies of one another. A node is the 64-bit hash of a text, so equal texts are one.
@@ -26,15 +28,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import connected_components, discard, materialise
-from .simhash import LOWER
+from .simhash import LOWER, cast_votes, sign_bits, soft_keys, vote_rows
 
-WORDS, BANDS, ROWS = 5, 32, 5
+WORDS, TABLES = 5, 176
+VOTE_ROWS = 1 << 10  # rows of the table that votes are taken from
+RADIUS, HALF = 44, 26  # of 128 bits, of the first 64
+STARS = 12  # centres that a text is compared with at first
 WEIGHTS = 1 << 18  # places of the counts by which shingles are ordered
-STEP = 1 << 12  # shingles hashed at once
+STEP = 16  # texts whose votes are counted at once
 _RNG = np.random.default_rng(42)
 PLACES = _RNG.integers(0, 1 << 63, WORDS, np.uint64) << np.uint64(1) | np.uint64(1)
-TIMES = _RNG.integers(0, 1 << 63, BANDS * ROWS, np.uint64) << np.uint64(1) | np.uint64(1)
-MASKS = _RNG.integers(0, 1 << 63, BANDS * ROWS, np.uint64)
 NODE = "xxhash64(coalesce(cast(text as string), ''))"
 
 
@@ -55,36 +58,70 @@ def alike(a: set, b: set) -> bool:
     return 5 * common >= 4 * (len(a) + len(b) - common)
 
 
-def band_keys(text: str | None) -> np.ndarray:
-    """One signed key a band."""
+def shingle_hashes(text: str | None) -> np.ndarray:
+    """A hash of each shingle, got from those of its words, each once."""
     w = _words(text)
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    if w:
-        digest = xxhash.xxh64_intdigest
-        h = np.fromiter(map(digest, w), np.uint64, len(w))
-        n = max(1, len(w) - WORDS + 1)
-        s = np.zeros(n, np.uint64)
-        for k in range(min(WORDS, len(w))):
-            s += h[k : k + n] * PLACES[k]
-        s ^= s >> np.uint64(29)
-        s = np.unique(s * PLACES[0])
-        for at in range(0, len(s), STEP):
-            x = (s[at : at + STEP, None] ^ MASKS) * TIMES
-            np.minimum(least, (x ^ x >> np.uint64(32)).min(0), out=least)
-    raw = least.tobytes()
-    return np.array([xxhash.xxh64_intdigest(raw[8 * ROWS * k : 8 * ROWS * (k + 1)], k) for k in range(BANDS)], np.uint64).view(np.int64)
-
-
-def _bands(texts: DataFrame) -> DataFrame:
+    if not w:
+        return np.zeros(0, np.uint64)
+    h = np.fromiter(map(xxhash.xxh64_intdigest, w), np.uint64, len(w))
+    n = max(1, len(w) - WORDS + 1)
+    s = np.zeros(n, np.uint64)
+    for k in range(min(WORDS, len(w))):
+        s += h[k : k + n] * PLACES[k]
+    s ^= s >> np.uint64(29)
+    return np.unique(s * PLACES[0])
+
+
+def prints(texts: list, table: np.ndarray) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """Of each text the number of shingles, the fingerprint of 128 bits as two longs, and a key a table."""
+    sets = [shingle_hashes(t) for t in texts]
+    votes = np.stack([cast_votes(s, VOTE_ROWS) for s in sets]) @ table
+    return [len(s) for s in sets], sign_bits(votes[:, :128]), soft_keys(votes)
+
+
+def _prints(texts: DataFrame) -> DataFrame:
     def run(batches):
+        table = vote_rows(VOTE_ROWS, 48 * TABLES)  # not kept beyond the task
         for b in batches:
-            for at in range(0, b.num_rows, 2_000):
-                part = b.slice(at, 2_000)
-                keys = [band_keys(t.as_py()) for t in part.column(1)]
-                nodes = np.repeat(part.column(0).to_numpy(zero_copy_only=False), BANDS)
-                yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(np.concatenate(keys))], ["node", "key"])
+            for at in range(0, b.num_rows, STEP):
+                part = b.slice(at, STEP)
+                size, bits, keys = prints(part.column(1).to_pylist(), table)
+                each = pa.array(np.arange(0, keys.size + 1, TABLES), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(size, pa.int32()), pa.array(bits[:, 0]), pa.array(bits[:, 1]), pa.ListArray.from_arrays(each, pa.array(keys.ravel()))],
+                    ["node", "size", "f0", "f1", "keys"],
+                )
+
+    return texts.mapInArrow(run, "node long, size int, f0 long, f1 long, keys array<int>")
+
+
+CLOSE = f"5 * least(size, other.size) >= 4 * greatest(size, other.size) and bit_count(f0 ^ other.f0) + bit_count(f1 ^ other.f1) <= {RADIUS}"
+
+
+def _members(printed: DataFrame) -> DataFrame:
+    """A row for each key of a text that another text has too, but for two whose fingerprints are far apart: key, n texts of the key, and the text's node, size, f0, f1 and times, its number of such keys."""
+    keys = printed.select("node", "f0", F.explode("keys").alias("key"))
+    # of the two texts of a key, bit_xor gives the bits that differ: most that meet by chance end here
+    full = keys.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor("f0").alias("x")).filter(f"n > 2 or n = 2 and bit_count(x) <= {HALF}").select("key", "n")
+    shared = materialise(keys.select("node", "key").join(full, "key"), "golay-shared")
+    marks = shared.groupBy("node").agg(F.count("*").alias("times")).join(printed.select("node", "size", "f0", "f1"), "node")
+    members = materialise(shared.join(marks, "node").select("key", "n", "node", "size", "f0", "f1", "times"), "golay-members")
+    discard(shared)
+    return members
+
+
+def _stars(members: DataFrame) -> DataFrame:
+    """(a, b): each text with STARS centres of its buckets at most, those that most buckets hold."""
+    centre = members.groupBy("key").agg(F.max_by(F.struct("times", "node", "size", "f0", "f1"), F.struct("times", "node")).alias("other"))
+    spokes = members.join(centre, "key").filter(F.expr(f"node <> other.node and {CLOSE}")).select("node", F.struct("other.times", "other.node").alias("to"))
+    of = spokes.groupBy("node").agg(F.slice(F.sort_array(F.collect_set("to"), asc=False), 1, STARS).alias("to"))  # TABLES at most
+    return of.select("node", F.explode("to.node").alias("to")).select(F.least("node", "to").alias("a"), F.greatest("node", "to").alias("b"))
+
 
-    return texts.mapInArrow(run, "node long, key long")
+def _across(small: DataFrame) -> DataFrame:
+    """(a, b) of texts of one bucket that are of different components; not of two open texts, which the exact join compares."""
+    other = small.select("key", F.struct("node", "component", "open", "size", "f0", "f1").alias("other"))
+    return small.join(other, "key").filter(F.expr(f"node < other.node and component <> other.component and not (open and other.open) and {CLOSE}")).select(F.col("node").alias("a"), F.col("other.node").alias("b"))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, label: str) -> DataFrame:
@@ -192,28 +229,24 @@ def _near_by_prefix(texts: DataFrame, found: DataFrame) -> DataFrame:
 def groups(docs: DataFrame, bucket: int = 64) -> DataFrame:
     """(node, component) of the texts that have near copies; the component is the smallest node of the group."""
     texts = docs.select(F.expr(NODE).alias("node"), F.col("text").cast("string").alias("text"))
-    bands = materialise(_bands(texts), "bands")
-    shared = bands.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("key")
-    members = materialise(bands.join(shared, "key").distinct(), "band-members")
-    discard(bands)
-    counted = members.groupBy("key").agg(F.count("*").alias("n"))
-    small = members.join(counted.filter(F.col("n") <= bucket).select("key"), "key")
-    large = materialise(members.join(counted.filter(F.col("n") > bucket).select("key"), "key"), "large-buckets")
-    held = large.groupBy("node").agg(F.count("*").alias("times"))
-    centres = large.join(held, "node").groupBy("key").agg(F.max_by("node", F.struct("times", "node")).alias("c0"), F.min_by("node", F.xxhash64("node")).alias("c1"))
-    pairs = small.select("key", F.col("node").alias("a")).join(small.select("key", F.col("node").alias("b")), "key").filter("a < b").select("a", "b")
-    stars = large.join(centres, "key").select(F.explode(F.array("c0", "c1")).alias("a"), F.col("node").alias("b")).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    known = materialise(texts.join(members.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("text").alias("text")), "band-texts")
-    links = _verified(pairs.union(stars), known, "near-links")
+    printed = materialise(_prints(texts).dropDuplicates(["node"]), "prints")
+    members = _members(printed)
+    discard(printed)
+    known = materialise(texts.join(members.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("text").alias("text")), "near-texts")
+    stars = materialise(_stars(members).distinct(), "stars")
+    links = _verified(stars, known, "near-links")
     found = connected_components(links, "a", "b")
-    named = large.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    split = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("key")
+    named = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    large = named.filter(F.col("n") > bucket).select("key", "node", "component")
+    split = large.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("key")
     open_ = materialise(large.join(split, "key", "left_semi").select("node").distinct(), "open-texts")
+    small = named.filter(F.col("n") <= bucket).join(open_.withColumn("open", F.lit(True)), "node", "left")
+    pairs = _across(small.withColumn("open", F.coalesce("open", F.lit(False))))
     if not open_.isEmpty():
-        more = _verified(_near_by_prefix(known.join(open_, "node", "left_semi"), found), known, "near-links")
-        if not more.isEmpty():
-            found = connected_components(links.union(more), "a", "b")
-        discard(more)
-    for used in (members, large, known, links, open_):
-        discard(used)
+        pairs = pairs.union(_near_by_prefix(known.join(open_, "node", "left_semi"), found))
+    more = _verified(pairs.join(stars, ["a", "b"], "left_anti"), known, "near-links")
+    if not more.isEmpty():
+        found = connected_components(links.union(more), "a", "b")
+    for table in (members, known, stars, links, open_, more):
+        discard(table)
     return found

@@ -8,6 +8,8 @@ common, thus an index. So (position, exact segment, Golay index of the next segm
 Candidates are verified by their differing bits. Buckets of more than ``bucket`` fingerprints are linked through the
 one-bit neighbours of their members instead (two fingerprints at two bits or fewer share one), so no bucket emits all pairs.
 
+For pairs many bits apart, ``soft_keys`` takes two Golay indices a key from votes whose strengths count, see nearcopies.
+
 Nulls: a null text counts as empty; no word gives fingerprint zero, linked like any other. Rows with a null id keep a row;
 they belong to their group but never name it. Repeated rows each keep a row. Further columns are ignored.
 """
@@ -82,6 +84,51 @@ def golay_keys(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(keys)
 
 
+@lru_cache
+def _codeword_signs() -> np.ndarray:
+    """24 x 2048: the codewords of the code extended by a parity bit, as signs; one of each two complements."""
+    v = np.arange(4096) << 11
+    bits = (v ^ _syndrome(v))[:, None] >> np.arange(23) & 1
+    bits = np.column_stack([bits, bits.sum(1) & 1])
+    return np.ascontiguousarray(1 - 2 * bits[bits[:, 0] == 0].T, np.float32)
+
+
+def soft_golay_index(votes: np.ndarray) -> np.ndarray:
+    """12-bit index of the extended codeword nearest to each row of 24 votes; a weak vote is overruled before a strong one."""
+    out = np.empty(len(votes), np.int64)
+    for at in range(0, len(votes), 512):
+        d = votes[at : at + 512] @ _codeword_signs()
+        k = np.abs(d).argmax(1)
+        out[at : at + 512] = k * 2 + (d[np.arange(len(d)), k] < 0)
+    return out
+
+
+def vote_rows(rows: int, bits: int) -> np.ndarray:
+    """The votes that shingles cast: rounded normal deviates, whole numbers so that sums are exact in any order."""
+    table = np.random.default_rng(42).standard_normal((rows, bits), np.float32)
+    table *= 32
+    return np.rint(table, out=table)
+
+
+def cast_votes(hashes: np.ndarray, rows: int) -> np.ndarray:
+    """How often each of the ``rows`` (a power of two) of a vote table counts for a set of 64-bit shingle hashes: a shingle takes a row or its negative."""
+    place = (hashes >> np.uint64(65 - rows.bit_length())).astype(np.int64)
+    sign = 1.0 - 2.0 * (hashes >> np.uint64(64 - rows.bit_length()) & np.uint64(1))
+    return np.bincount(place, sign, rows).astype(np.float32)
+
+
+def soft_keys(votes: np.ndarray) -> np.ndarray:
+    """(texts, tables) keys of (texts, 48 * tables) summed votes, 256 tables at most: table, then the indices of two segments of 24."""
+    index = soft_golay_index(votes.reshape(-1, 24)).reshape(len(votes), -1, 2)
+    table = np.arange(index.shape[1], dtype=np.int64)
+    return (table << 24 | index[:, :, 0] << 12 | index[:, :, 1]).astype(np.uint32).view(np.int32)
+
+
+def sign_bits(votes: np.ndarray) -> np.ndarray:
+    """(texts, bits / 64) signed longs: the fingerprint, one bit a vote."""
+    return np.packbits(votes > 0, axis=1).view(">i8").astype(np.int64)
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
     """(doc_id, fp): the fingerprint of each row's whole text, as a signed long."""
 
