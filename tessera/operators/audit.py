@@ -53,7 +53,7 @@ def fit_consistent(passed: Column, score: Column) -> Column:
 def first_duplicates(rows: DataFrame, sampled: DataFrame, index: str = "record_index", least: float = 0.95) -> DataFrame:
     """(index, duplicate_of, exact): for each sampled row the first other row with the same fingerprint or an alike answer.
 
-    rows: index, question, answer. Equal fingerprints meet in a join of counted groups, alike answers in near_duplicates().
+    rows: index, question, answer. Equal fingerprints meet in a join of counted groups, alike answers in first_alike().
     """
     own = rows.filter(T.given(F.col("answer")) != "").select(F.col(index).alias("i"), T.fingerprint(F.col("question"), F.col("answer")).alias("f"))
     groups = own.groupBy("f").agg(F.min("i").alias("first"), F.count("*").alias("n")).filter("n > 1")
@@ -61,7 +61,7 @@ def first_duplicates(rows: DataFrame, sampled: DataFrame, index: str = "record_i
     groups = groups.join(second, "f")
     picked = sampled.select(F.col(index).alias("i"))
     exact = own.join(picked, "i", "left_semi").join(groups, "f").select("i", F.when(F.col("i") == F.col("first"), F.col("second")).otherwise(F.col("first")).alias("j"), F.lit(True).alias("exact"))
-    alike = Q.near_duplicates(rows.select(F.col(index).alias("i"), "answer"), "i", "answer", sampled.select(F.col(index).alias("i"), "answer"), least)
+    alike = Q.first_alike(rows.select(F.col(index).alias("i"), "answer"), "i", "answer", sampled.select(F.col(index).alias("i"), "answer"), least)
     hits = exact.union(alike.select(F.col("key_a").alias("i"), F.col("key_b").alias("j"), F.lit(False).alias("exact")))
     found = hits.groupBy("i").agg(F.min(F.struct("j", (~F.col("exact")).alias("fuzzy"))).alias("x"))
     return found.select(F.col("i").alias(index), F.col("x.j").alias("duplicate_of"), (~F.col("x.fuzzy")).alias("exact"))

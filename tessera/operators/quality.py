@@ -96,11 +96,148 @@ def ratio(a: Column, b: Column) -> Column:
     return F.pandas_udf(run, "double")(a, b)
 
 
-def near_duplicates(df: DataFrame, key_col: str, text_col: str, sample: DataFrame, least: float = 0.95, block: int = 2000) -> DataFrame:
-    """(key_a, key_b, ratio): for each row of the sample (same columns), every other row whose text's ratio reaches ``least``.
-    Repeated rows count once; null and empty texts are alike to none.
+#: The widest spread of edits for which pieces are the keys, the texts whose pieces are counted, the share of them that
+#: makes a piece heavy, the parts that a heavy piece is dealt into, and the keys a batch.
+SPREAD, COUNTED, HEAVY, PARTS, KEYS = 0.25, 20_000, 0.01, 16, 50_000
+
+
+def distinct_texts(df: DataFrame, text_col: str, sample: DataFrame) -> DataFrame:
+    """(id, t, picked): each text of both frames but null and empty ones once, in the shared folder; whether the sample has it."""
+    from tessera.sources.shared import materialise
+
+    own = lambda d, p: d.select(F.col(text_col).alias("t"), F.lit(p).alias("picked")).filter("t is not null and t <> ''")
+    every = own(df, False).union(own(sample, True)).groupBy("t").agg(F.max("picked").alias("picked"))
+    return materialise(every.select(F.monotonically_increasing_id().alias("id"), "t", "picked"), "texts")
+
+
+def _keys(least: float, heavy: dict, side: str):
+    """An Arrow function, whole in itself, from (id, t) to (piece, part, id, n, low, high, z0 to z3): keys with the first and last place of the piece, and
+    counts of characters in 16 bins. side: ``row`` gives as many disjoint pieces as edits and one more, the least frequent first;
+    ``picked`` all pieces that such a row may have; ``all`` all disjoint pieces."""
+    import numpy as np
+    import pyarrow as pa
+
+    sizes: dict[int, list[int]] = {}
+
+    def edits(n: int) -> int:
+        """The most characters that a text of n characters and an alike one have unmatched, both counted."""
+        return int(n * 2 * (1 - least) / least + 1e-6)
+
+    def size(n: int) -> int:
+        """The length of a text's pieces, a quarter more of them than are needed; 0 if only an equal text can be alike."""
+        return max(1, int(n / (1.25 * (edits(n) + 1)))) if edits(n) else 0
+
+    def places(t: str) -> list[tuple[int, int]]:
+        n = len(t)
+        if side == "picked":
+            if n not in sizes:
+                low, high = int(n * least / (2 - least) - 1e-6), int(n * (2 - least) / least + 1e-6) + 1
+                sizes[n] = sorted({size(m) for m in range(low, high + 1)} - {0})
+            return [(i, q) for q in sizes[n] for i in range(n - q + 1)]
+        q = size(n)
+        at = [(i, q) for i in range(0, n - q + 1, q)] if q else []
+        if side == "row" and heavy:
+            at.sort(key=lambda x: heavy.get(t[x[0] : x[0] + q], 0))
+        return at[: edits(n) + 1] if side == "row" else at
+
+    def run(batches):
+        cols = [[] for _ in range(6)]
+        bins: list = []
+
+        def flush():
+            z = np.array(bins, np.int64).reshape(-1, 4)
+            kinds = (pa.string(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+            arrays = [pa.array(c, k) for c, k in zip(cols, kinds)] + [pa.array(z[:, i]) for i in range(4)]
+            for c in (*cols, bins):
+                c.clear()
+            return pa.RecordBatch.from_arrays(arrays, ["piece", "part", "id", "n", "low", "high", "z0", "z1", "z2", "z3"])
+
+        for b in batches:
+            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                held: dict[str, list[int]] = {}
+                for at, q in places(t):
+                    x = held.setdefault(t[at : at + q], [at, at])
+                    x[0], x[1] = min(x[0], at), max(x[1], at)
+                code = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)
+                z = np.minimum(np.bincount((code + (code >> 6) * 9) & 15, minlength=16), 65535).astype("<u2").view("<i8")
+                for piece, (low, high) in held.items():
+                    parts = (0,) if heavy.get(piece, 0) < HEAVY else range(PARTS) if side == "picked" else (i % PARTS,)
+                    for part in parts:
+                        for c, v in zip(cols, (piece, part, i, len(t), low, high)):
+                            c.append(v)
+                        bins.append(z)
+                if len(bins) >= KEYS:
+                    yield flush()
+        yield flush()
+
+    return run
+
+
+_KEY = "piece string, part int, id long, n int, low int, high int, z0 long, z1 long, z2 long, z3 long"
+
+
+def alike_texts(texts: DataFrame, least: float = 0.95, block: int = 2000) -> DataFrame:
+    """(a, b, ratio): for each picked text of distinct_texts(), every other text whose ratio reaches ``least``. Exact.
+
+    Two texts with d characters unmatched share one of any d + 1 disjoint pieces of either, moved by d places at most; so a few pieces
+    of each text meet all pieces of the picked ones in a join. Lengths, places and counts of characters part chance meetings, and what
+    is left goes to the matcher. Which pieces are taken depends on counts over some texts, the result does not; the pieces that many
+    texts have are dealt into parts. Where ``least`` allows so many edits that pieces are too short, blocks are compared instead.
+    """
+    picked = texts.filter("picked")
+    if 2 * (1 - least) / least > SPREAD:
+        return _compared(texts.select(F.col("id").alias("key"), "t"), picked.select(F.col("id").alias("k"), F.col("t").alias("s")), least, block)
+    total = texts.count()
+    some = texts.filter(F.pmod(F.xxhash64("t"), F.lit(-(-total // COUNTED))) == 0) if total > COUNTED else texts
+    counted = some.select("id", "t").mapInArrow(_keys(least, {}, "all"), _KEY).groupBy("piece").count().filter("count > 8").orderBy(F.desc("count")).limit(COUNTED).collect()
+    held = max(1, min(total, COUNTED))
+    heavy = {r.piece: r["count"] / held for r in counted}
+    a = picked.select("id", "t").mapInArrow(_keys(least, heavy, "picked"), _KEY).hint("merge").alias("a")
+    b = texts.select("id", "t").mapInArrow(_keys(least, heavy, "row"), _KEY).alias("b")
+    n = F.col("a.n") + F.col("b.n")
+    half = n * (least / 2) - 1e-6
+    bins = lambda s, z, i: F.shiftright(F.col(f"{s}.z{z}"), 16 * i).bitwiseAND(F.lit(65535))
+    apart = sum((F.abs(bins("a", z, i) - bins("b", z, i)) for z in range(4) for i in range(4)), F.lit(0))
+    near = (F.col("a.id") != F.col("b.id")) & (F.least("a.n", "b.n") >= half) & (F.col("a.low") - F.col("b.high") <= F.col("a.n") - half) & (F.col("b.low") - F.col("a.high") <= F.col("b.n") - half)
+    met = a.join(b, (F.col("a.piece") == F.col("b.piece")) & (F.col("a.part") == F.col("b.part")) & near & (apart <= n - 2 * half))
+    pairs = met.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
+    left = picked.select(F.col("id").alias("a"), F.col("t").alias("s"))
+    both = pairs.join(left.hint("merge"), "a").join(texts.select(F.col("id").alias("b"), "t").hint("merge"), "b")
+    return both.select("a", "b", "s", "t").mapInPandas(_matched(least), "a long, b long, ratio double")
+
+
+def _counter():
+    """A function, whole in itself, that counts a text's characters in 128 bins."""
+    import numpy as np
+
+    return lambda t: np.bincount(np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) % 128, minlength=128)
+
+
+def _matched(least: float):
+    """A function from (a, b, s, t) to (a, b, ratio) of the pairs whose ratio reaches ``least``; counts of characters bound it first."""
+    counts = _counter()
+
+    def run(batches):
+        from difflib import SequenceMatcher
+
+        import numpy as np
 
-    The sample is dealt into groups and the rows into blocks of about ``block``; all pairs of group and block are the groups of one
+        for x in batches:
+            found = []
+            for a, b, s, t in zip(x["a"].tolist(), x["b"].tolist(), x["s"], x["t"]):
+                if 2 * np.minimum(counts(s), counts(t)).sum() >= least * (len(s) + len(t)):
+                    r = SequenceMatcher(None, s, t).ratio()
+                    if r >= least:
+                        found.append((a, b, r))
+            yield pd.DataFrame(found, columns=["a", "b", "ratio"])
+
+    return run
+
+
+def _compared(rows: DataFrame, picked: DataFrame, least: float, block: int) -> DataFrame:
+    """(a, b, ratio) of all pairs of rows (key, t) and picked rows (k, s), equal keys left out, that reach ``least``.
+
+    Picked rows are dealt into groups and rows into blocks of about ``block``; all pairs of group and block are the groups of one
     cogrouped plan. A row meets a group by two bounds that lose nothing (lengths, then counts of characters, both at least the
     ratio), in one matrix operation, and only what they leave is compared.
     """
@@ -108,12 +245,7 @@ def near_duplicates(df: DataFrame, key_col: str, text_col: str, sample: DataFram
 
     import numpy as np
 
-    def counts(t: str) -> np.ndarray:
-        return np.bincount(np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) % 128, minlength=128)
-
-    key_type = df.schema[key_col].dataType.simpleString()
-    rows = df.select(F.col(key_col).alias("key"), F.col(text_col).alias("t")).filter("t is not null and t <> ''").distinct()
-    picked = sample.select(F.col(key_col).alias("k"), F.col(text_col).alias("s")).filter("s is not null and s <> ''").distinct()
+    counts = _counter()
     n_groups, n_blocks = max(1, -(-picked.count() // block)), max(1, -(-rows.count() // block))
     deal = lambda c, t, n: F.pmod(F.xxhash64(c, t), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
@@ -132,15 +264,46 @@ def near_duplicates(df: DataFrame, key_col: str, text_col: str, sample: DataFram
                 close = np.flatnonzero(2 * np.minimum(sizes, n) >= least * (sizes + n))
                 close = close[2 * np.minimum(table[close], mine).sum(1) >= least * (sizes[close] + n)]
                 for i in close:
-                    if own[i] == key:
-                        continue
-                    # of 200 characters on the matcher passes over frequent ones, so equal texts need not give 1
-                    r = 1.0 if texts[i] == t and len(t) < 200 else SequenceMatcher(None, texts[i], t).ratio()
-                    if r >= least:
-                        found.append((own[i], key, r))
-        return pd.DataFrame(found, columns=["key_a", "key_b", "ratio"])
+                    if own[i] != key:
+                        r = SequenceMatcher(None, texts[i], t).ratio()
+                        if r >= least:
+                            found.append((own[i], key, r))
+        return pd.DataFrame(found, columns=["a", "b", "ratio"])
+
+    return a.groupBy("g", "b").cogroup(b.groupBy("gg", "bb")).applyInPandas(run, "a long, b long, ratio double")
 
-    return a.groupBy("g", "b").cogroup(b.groupBy("gg", "bb")).applyInPandas(run, f"key_a {key_type}, key_b {key_type}, ratio double")
+
+def members(df: DataFrame, key_col: str, text_col: str, texts: DataFrame) -> DataFrame:
+    """(id, key): the distinct keys of each text of distinct_texts()."""
+    rows = df.select(F.col(key_col).alias("key"), F.col(text_col).alias("t"))
+    return rows.join(texts.select("id", "t").hint("merge"), "t").select("id", "key").distinct()
+
+
+def links(texts: DataFrame, least: float, block: int = 2000) -> DataFrame:
+    """alike_texts() and each picked text with itself: the matcher gives equal texts 1, whatever characters it passes over, since the
+    first of the longest runs lies on the diagonal and grows to both ends."""
+    own = texts.filter("picked").select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("ratio")).filter(F.lit(1.0 >= least))
+    return alike_texts(texts, least, block).union(own)
+
+
+def near_duplicates(df: DataFrame, key_col: str, text_col: str, sample: DataFrame, least: float = 0.95, block: int = 2000) -> DataFrame:
+    """(key_a, key_b, ratio): for each row of the sample (same columns), every other row whose text's ratio reaches ``least``.
+    Repeated rows count once; null and empty texts are alike to none. Texts are compared once, however many rows have them."""
+    texts = distinct_texts(df, text_col, sample)
+    left = members(sample, key_col, text_col, texts).select(F.col("id").alias("a"), F.col("key").alias("key_a"))
+    right = members(df, key_col, text_col, texts).select(F.col("id").alias("b"), F.col("key").alias("key_b"))
+    found = links(texts, least, block).join(left.hint("merge"), "a").join(right.hint("merge"), "b")
+    return found.filter("key_a <> key_b").select("key_a", "key_b", "ratio")
+
+
+def first_alike(df: DataFrame, key_col: str, text_col: str, sample: DataFrame, least: float = 0.95) -> DataFrame:
+    """(key_a, key_b): for each key of the sample the least other key that near_duplicates() would give, the pairs not listed."""
+    texts = distinct_texts(df, text_col, sample)
+    left = members(sample, key_col, text_col, texts).select(F.col("id").alias("a"), F.col("key").alias("key_a"))
+    two = lambda rows, by: rows.withColumn("r", F.row_number().over(Window.partitionBy(by).orderBy("key"))).filter("r <= 2")
+    least_two = two(members(df, key_col, text_col, texts), "id").select(F.col("id").alias("b"), "key")
+    met = two(links(texts, least).join(least_two.hint("merge"), "b").select("a", "key").distinct(), "a")
+    return left.join(met.hint("merge"), "a").filter("key_a <> key").groupBy("key_a").agg(F.min("key").alias("key_b"))
 
 
 def role_statistics(turns: DataFrame, id_col: str, role_col: str = "role", text_col: str = "text") -> DataFrame:

@@ -103,6 +103,44 @@ def test_split_has_a_validation_row_and_keeps_keys_together(spark):
         assert {(r.key_a, r.key_b) for r in Q.near_duplicates(df, "k", "t", df, block=block).collect()} == want
 
 
+def test_alike_texts_of_all_lengths_against_brute_force(spark, monkeypatch):
+    import random
+
+    rng = random.Random(5)
+
+    def edited(t, n):
+        t = list(t)
+        for _ in range(n):
+            i = rng.randrange(len(t) + 1)
+            t[i : i + rng.randrange(2)] = rng.choice(["", "q", "é", "ab"])
+        return "".join(t)
+
+    made = [lambda n: "".join(rng.choice("ab") for _ in range(n)), lambda n: "".join(rng.choice("0123456789abcdef😀") for _ in range(n)), lambda n: ("head of all texts, " + "".join(rng.choice("xyz") for _ in range(7)) * n)[:n], lambda n: "a" * n]
+    texts = ["", None]
+    for n in (1, 2, 9, 10, 19, 20, 32, 38, 39, 60, 199, 230, 700):
+        for make in made:
+            t = make(n)
+            texts += [t, t] + [edited(t, rng.randrange(1 + n // 12)) for _ in range(2)] + [t[n // 20 :], t[: n - n // 30]]
+    rows = list(enumerate(texts)) + [(3, texts[3]), (4, texts[20])]
+    df = spark.createDataFrame(rows, "k long, t string")
+    picked = df.filter("k % 2 = 0")
+    for least in (0.95, 0.9, 0.8):
+        want = {(i, j) for i, a in rows if i % 2 == 0 and a for j, b in rows if i != j and b and 2 * min(len(a), len(b)) >= least * len(a + b) and SequenceMatcher(None, a, b).ratio() >= least}
+        for heavy in (Q.HEAVY, 1e-9):
+            monkeypatch.setattr(Q, "HEAVY", heavy)
+            got = [(r.key_a, r.key_b) for r in Q.near_duplicates(df, "k", "t", picked, least, 100).collect()]
+            assert set(got) == want and len(want) > 200
+        first = {r.key_a: r.key_b for r in Q.first_alike(df, "k", "t", picked, least).collect()}
+        assert first == {i: min(j for x, j in want if x == i) for i in {x for x, _ in want}}
+
+
+def test_alike_texts_are_met_by_keys_and_copies_are_not_listed(spark, monkeypatch):
+    monkeypatch.setattr(Q, "_compared", lambda *a: (_ for _ in ()).throw(AssertionError("all pairs")))
+    rows = spark.range(30_000).selectExpr("id AS k", "CASE WHEN id % 3 = 0 THEN 'one and the same answer' ELSE md5(id - id % 3 || '') || CASE WHEN id % 3 = 2 THEN 'z' ELSE '' END END AS t")
+    got = {r.key_a: r.key_b for r in Q.first_alike(rows, "k", "t", rows).collect()}
+    assert got == {i: (3 if i == 0 else 0) if i % 3 == 0 else i + 1 if i % 3 == 1 else i - 1 for i in range(30_000)}
+
+
 def test_topics(spark):
     e = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "b"), ("a", "d")], "parent_id string, child_id string")
     assert {r.id for r in P.cyclic_nodes(e).collect()} == {"b", "c"}
