@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text as T
 from tessera.operators import quality as Q
+from tessera.sources.shared import discard, materialise
 
 CHECKS = ("groundedness", "format", "speaker", "fit_score", "duplication")
 MOST_WORDS, MOST_CHARS = 50, 2000
@@ -55,7 +56,7 @@ def first_duplicates(rows: DataFrame, sampled: DataFrame, index: str = "record_i
 
     rows: index, question, answer. Equal fingerprints meet in a join of counted groups, alike answers in first_alike().
     """
-    own = rows.filter(T.given(F.col("answer")) != "").select(F.col(index).alias("i"), T.fingerprint(F.col("question"), F.col("answer")).alias("f"))
+    own = materialise(rows.filter(T.given(F.col("answer")) != "").select(F.col(index).alias("i"), T.fingerprint(F.col("question"), F.col("answer")).alias("f")), "fingerprints")
     groups = own.groupBy("f").agg(F.min("i").alias("first"), F.count("*").alias("n")).filter("n > 1")
     second = own.join(groups, "f").filter("i > first").groupBy("f").agg(F.min("i").alias("second"))
     groups = groups.join(second, "f")
@@ -64,7 +65,10 @@ def first_duplicates(rows: DataFrame, sampled: DataFrame, index: str = "record_i
     alike = Q.first_alike(rows.select(F.col(index).alias("i"), "answer"), "i", "answer", sampled.select(F.col(index).alias("i"), "answer"), least)
     hits = exact.union(alike.select(F.col("key_a").alias("i"), F.col("key_b").alias("j"), F.lit(False).alias("exact")))
     found = hits.groupBy("i").agg(F.min(F.struct("j", (~F.col("exact")).alias("fuzzy"))).alias("x"))
-    return found.select(F.col("i").alias(index), F.col("x.j").alias("duplicate_of"), (~F.col("x.fuzzy")).alias("exact"))
+    out = materialise(found.select(F.col("i").alias(index), F.col("x.j").alias("duplicate_of"), (~F.col("x.fuzzy")).alias("exact")), "duplicates")
+    discard(own)
+    discard(alike)
+    return out
 
 
 def audit_rows(rows: DataFrame, sampled: DataFrame, speakers: list[str], index: str = "record_index") -> DataFrame:
@@ -93,9 +97,11 @@ def audit_rates(audited: DataFrame) -> DataFrame:
 def save_audit(audited: DataFrame, path: str, index: str = "record_index") -> None:
     """The rates as JSON under path/report, the failing rows as CSV with a header under path/failures."""
     cols = [index, *[c for c in ("is_train", "pair_id", "episode_id", "answer_speaker", "question") if c in audited.columns]]
-    audit_rates(audited).coalesce(1).write.mode("overwrite").json(f"{path}/report")
-    failed = audited.filter("not passed").select(*cols, F.array_join("reasons", "; ").alias("failure_reasons"))
+    kept = materialise(audited.select(*cols, *[c for c in CHECKS if c not in cols], "reasons", "passed"), "audit")
+    audit_rates(kept).coalesce(1).write.mode("overwrite").json(f"{path}/report")
+    failed = kept.filter("not passed").select(*cols, F.array_join("reasons", "; ").alias("failure_reasons"))
     failed.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{path}/failures")
+    discard(kept)
 
 
 def union_by_offset(train: DataFrame, val: DataFrame, index: str = "record_index") -> DataFrame:

@@ -42,6 +42,22 @@ def test_nulls_and_clashing_names_in_an_audit(spark):
     assert got[0].duplication is None and len(got[0].reasons) == 3 and got[0].fit_score is None
 
 
+def test_saved_audit_is_computed_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def passed(i):
+        seen.add(1)
+        return i % 4 != 0
+
+    rows = spark.range(40).withColumnRenamed("id", "record_index").withColumn("passed", F.udf(passed, "boolean")("record_index"))
+    audited = rows.withColumns({c: F.when(~F.col("passed"), F.lit("bad, \"so\"")) for c in A.CHECKS}).withColumn("reasons", F.when(~F.col("passed"), F.array(F.lit("bad, \"so\""))).otherwise(F.array().cast("array<string>")))
+    A.save_audit(audited, str(tmp_path))
+    assert seen.value == 40
+    failed = spark.read.option("header", True).option("escape", '"').csv(f"{tmp_path}/failures").collect()
+    assert {(int(r.record_index), r.failure_reasons) for r in failed} == {(i, 'bad, "so"') for i in range(0, 40, 4)}
+    assert {(r.check, r.passed, r.total) for r in spark.read.json(f"{tmp_path}/report").collect()} == {(c, 30, 40) for c in (*A.CHECKS, "overall")}
+
+
 def test_percentile_and_thresholds_against_sorting(spark):
     import random
 
