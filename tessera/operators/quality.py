@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
+from tessera.sources.shared import discard, materialise
 
 #: What an error of a remote service says.
 SERVICE_ERRORS = ("timeout", "rate limit", "connection")
@@ -103,8 +104,6 @@ SPREAD, COUNTED, HEAVY, PARTS, KEYS = 0.25, 20_000, 0.01, 16, 50_000
 
 def distinct_texts(df: DataFrame, text_col: str, sample: DataFrame) -> DataFrame:
     """(id, t, picked): each text of both frames but null and empty ones once, in the shared folder; whether the sample has it."""
-    from tessera.sources.shared import materialise
-
     own = lambda d, p: d.select(F.col(text_col).alias("t"), F.lit(p).alias("picked")).filter("t is not null and t <> ''")
     every = own(df, False).union(own(sample, True)).groupBy("t").agg(F.max("picked").alias("picked"))
     return materialise(every.select(F.monotonically_increasing_id().alias("id"), "t", "picked"), "texts")
@@ -114,6 +113,8 @@ def _keys(least: float, heavy: dict, side: str):
     """An Arrow function, whole in itself, from (id, t) to (piece, part, id, n, low, high, z0 to z3): keys with the first and last place of the piece, and
     counts of characters in 16 bins. side: ``row`` gives as many disjoint pieces as edits and one more, the least frequent first;
     ``picked`` all pieces that such a row may have; ``all`` all disjoint pieces."""
+    import math
+
     import numpy as np
     import pyarrow as pa
 
@@ -124,51 +125,58 @@ def _keys(least: float, heavy: dict, side: str):
         return int(n * 2 * (1 - least) / least + 1e-6)
 
     def size(n: int) -> int:
-        """The length of a text's pieces, a quarter more of them than are needed; 0 if only an equal text can be alike."""
-        return max(1, int(n / (1.25 * (edits(n) + 1)))) if edits(n) else 0
+        """The length of a text's pieces, a fifth more of them at least than are needed: one, two or three times a power of two, so that
+        alike texts have few different ones. 0 if only an equal text can be alike."""
+        most = max(1, int(n / (1.2 * (edits(n) + 1))))
+        return max(x << k for x in (1, 2, 3) for k in range(most.bit_length()) if x << k <= most) if edits(n) else 0
 
-    def places(t: str) -> list[tuple[int, int]]:
+    def pieces(t: str) -> tuple[list[str], list[int]]:
         n = len(t)
         if side == "picked":
             if n not in sizes:
-                low, high = int(n * least / (2 - least) - 1e-6), int(n * (2 - least) / least + 1e-6) + 1
+                low, high = math.ceil(n * least / (2 - least) - 1e-6), int(n * (2 - least) / least + 1e-6)
                 sizes[n] = sorted({size(m) for m in range(low, high + 1)} - {0})
-            return [(i, q) for q in sizes[n] for i in range(n - q + 1)]
+            return [t[i : i + q] for q in sizes[n] for i in range(n - q + 1)], [i for q in sizes[n] for i in range(n - q + 1)]
         q = size(n)
-        at = [(i, q) for i in range(0, n - q + 1, q)] if q else []
-        if side == "row" and heavy:
-            at.sort(key=lambda x: heavy.get(t[x[0] : x[0] + q], 0))
-        return at[: edits(n) + 1] if side == "row" else at
+        at = list(range(0, n - q + 1, q)) if q else []
+        if side == "row":
+            if heavy:
+                at.sort(key=lambda i: heavy.get(t[i : i + q], 0))
+            at = sorted(at[: edits(n) + 1])
+        return [t[i : i + q] for i in at], at
 
     def run(batches):
-        cols = [[] for _ in range(6)]
-        bins: list = []
+        keys, parts, lows, highs = [], [], [], []
+        ids, lengths, bins, times = [], [], [], []
 
         def flush():
-            z = np.array(bins, np.int64).reshape(-1, 4)
-            kinds = (pa.string(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
-            arrays = [pa.array(c, k) for c, k in zip(cols, kinds)] + [pa.array(z[:, i]) for i in range(4)]
-            for c in (*cols, bins):
-                c.clear()
+            each = lambda x, k: np.repeat(np.array(x, k), times, axis=0)
+            z = each(np.array(bins, np.int64).reshape(-1, 4), np.int64)
+            arrays = [pa.array(keys, pa.string()), pa.array(parts, pa.int32()), pa.array(each(ids, np.int64)), pa.array(each(lengths, np.int32)), pa.array(lows, pa.int32()), pa.array(highs, pa.int32()), *[pa.array(z[:, i]) for i in range(4)]]
+            for x in (keys, parts, lows, highs, ids, lengths, bins, times):
+                x.clear()
             return pa.RecordBatch.from_arrays(arrays, ["piece", "part", "id", "n", "low", "high", "z0", "z1", "z2", "z3"])
 
         for b in batches:
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                held: dict[str, list[int]] = {}
-                for at, q in places(t):
-                    x = held.setdefault(t[at : at + q], [at, at])
-                    x[0], x[1] = min(x[0], at), max(x[1], at)
+                found, at = pieces(t)
+                if not found:
+                    continue
+                last, first = dict(zip(found, at)), dict(zip(reversed(found), reversed(at)))
+                began = len(keys)
+                for piece, high in last.items():
+                    if heavy.get(piece, 0) < HEAVY:
+                        keys.append(piece), parts.append(0), lows.append(first[piece]), highs.append(high)
+                        continue
+                    for part in range(PARTS) if side == "picked" else (i % PARTS,):
+                        keys.append(piece), parts.append(part), lows.append(first[piece]), highs.append(high)
                 code = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)
-                z = np.minimum(np.bincount((code + (code >> 6) * 9) & 15, minlength=16), 65535).astype("<u2").view("<i8")
-                for piece, (low, high) in held.items():
-                    parts = (0,) if heavy.get(piece, 0) < HEAVY else range(PARTS) if side == "picked" else (i % PARTS,)
-                    for part in parts:
-                        for c, v in zip(cols, (piece, part, i, len(t), low, high)):
-                            c.append(v)
-                        bins.append(z)
-                if len(bins) >= KEYS:
+                bins.append(np.minimum(np.bincount((code + (code >> 6) * 9) & 15, minlength=16), 65535).astype("<u2").view("<i8"))
+                ids.append(i), lengths.append(len(t)), times.append(len(keys) - began)
+                if len(keys) >= KEYS:
                     yield flush()
-        yield flush()
+        if keys:
+            yield flush()
 
     return run
 
@@ -303,7 +311,9 @@ def first_alike(df: DataFrame, key_col: str, text_col: str, sample: DataFrame, l
     two = lambda rows, by: rows.withColumn("r", F.row_number().over(Window.partitionBy(by).orderBy("key"))).filter("r <= 2")
     least_two = two(members(df, key_col, text_col, texts), "id").select(F.col("id").alias("b"), "key")
     met = two(links(texts, least).join(least_two.hint("merge"), "b").select("a", "key").distinct(), "a")
-    return left.join(met.hint("merge"), "a").filter("key_a <> key").groupBy("key_a").agg(F.min("key").alias("key_b"))
+    out = materialise(left.join(met.hint("merge"), "a").filter("key_a <> key").groupBy("key_a").agg(F.min("key").alias("key_b")), "alike")
+    discard(texts)
+    return out
 
 
 def role_statistics(turns: DataFrame, id_col: str, role_col: str = "role", text_col: str = "text") -> DataFrame:

@@ -141,6 +141,13 @@ def test_alike_texts_are_met_by_keys_and_copies_are_not_listed(spark, monkeypatc
     assert got == {i: (3 if i == 0 else 0) if i % 3 == 0 else i + 1 if i % 3 == 1 else i - 1 for i in range(30_000)}
 
 
+def test_near_duplicates_make_no_blocks_of_all_pairs(spark):
+    rows = spark.range(2_000).selectExpr("id % 1000 || CASE WHEN id < 1000 THEN '' ELSE 'c' END AS k", "substr(md5('' || id % 1000), 1, 31) || CASE WHEN id < 1000 THEN 'y' ELSE 'z' END AS t")
+    found = Q.near_duplicates(rows, "k", "t", rows.filter("k LIKE '%7'"), block=400)
+    assert "CoGroup" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {(r.key_a, r.key_b, r.ratio) for r in found.collect()} == {(str(i), f"{i}c", 0.96875) for i in range(7, 1000, 10)}
+
+
 def test_topics(spark):
     e = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "b"), ("a", "d")], "parent_id string, child_id string")
     assert {r.id for r in P.cyclic_nodes(e).collect()} == {"b", "c"}
