@@ -58,6 +58,14 @@ def test_saved_audit_is_computed_once(spark, tmp_path):
     assert {(r.check, r.passed, r.total) for r in spark.read.json(f"{tmp_path}/report").collect()} == {(c, 30, 40) for c in (*A.CHECKS, "overall")}
 
 
+def test_rates_of_many_copies_compare_no_pairs(spark):
+    rows = spark.range(20_000).selectExpr("id AS record_index", "'p' AS pair_id", "'e' AS episode_id", "'Q' || id || '?' AS question", "CASE WHEN id % 2 = 0 THEN 'the same answer of half of all rows' ELSE md5('' || id) END AS answer", "'Ann' AS answer_speaker",
+                                          "'x' AS source_spans_text", "0.7D AS fit_score_ce", "named_struct('pairfit_passed', true, 'speaker_check_passed', true) AS gates")
+    rates = A.audit_rates(A.audit_rows(rows, rows, ["Ann"]))
+    assert "Pandas" not in rates.select("check", "passed").filter("check = 'duplication'")._jdf.queryExecution().executedPlan().toString().replace("ArrowEvalPython", "")
+    assert {r.check: r.passed for r in rates.collect()}["duplication"] == 10_000
+
+
 def test_percentile_and_thresholds_against_sorting(spark):
     import random
 
