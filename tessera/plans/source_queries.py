@@ -222,7 +222,7 @@ _CUT = """d AS (SELECT {key}, list_filter(list_transform(string_split(regexp_rep
 
 @query(f"WITH RECURSIVE {_CUT.format(key='doc_id', ukey='u.doc_id', on='u.doc_id = f.doc_id', text='text', src='documents', most=200)} SELECT doc_id, chunk, md5(t) AS text, tokens FROM chunks")
 def q_chunk_text(spark, sf_dir):
-    cut = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(K.chunk_text(F.col("text"), 200)).alias("chunk", "x"))
+    cut = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(K.chunk_text(F.col("text"), 200, sql=True)).alias("chunk", "x"))
     return cut.select("doc_id", "chunk", F.md5("x.text").alias("text"), F.col("x.tokens").alias("tokens"))
 
 

@@ -150,6 +150,24 @@ def test_tokens_of_a_tokenizer(spark):
     assert " ".join(c.text for c in got).replace(" ", "") == text.replace(" ", "")
 
 
+def test_chunks_of_odd_white_space_equal_the_sql(spark, tmp_path):
+    import random
+
+    import duckdb
+
+    from tessera.plans import source_queries as Y
+
+    rng = random.Random(3)
+    parts = ["word", " ", "\n", "\t", ". ", ".\n", "! ", "?\r\n", "\x0b", "\xa0", "\u2003", " " * 30, "x" * 90, "é", "\x1f", "\x85", "\u3000", "😀", ".", "\x01"]
+    texts = ["", "   ", None, "a", "\n", "x" * 799 + "\n" + "y" * 10, "x" * 400 + " " * 1700 + "y" * 900, "\x01"] + ["".join(rng.choices(parts, k=rng.choice([3, 40, 300]))) for _ in range(300)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    got = sorted(map(tuple, Y.q_chunk_text(spark, str(tmp_path)).select("doc_id", "chunk", "text", "tokens").collect()))
+    assert got == sorted(con.execute(f"SELECT doc_id, chunk, text, tokens FROM ({Y.ORACLE_SQL['q_chunk_text']})").fetchall())
+    assert K.pack("x" * 799 + "\n" + "y" * 10, 200, K.Quarters())[0] == ("x" * 799, 200)  # the operator itself trims all white space
+
+
 def test_segments_of_files_in_many_blocks(spark, tmp_path):
     values = [json.dumps({"episode_id": "e", "text": f"line {i} " + "x" * (i % 50)}) if i % 7 else "" for i in range(2000)]
     (tmp_path / "a.jsonl").write_text("\n".join(values) + "\n")
